@@ -40,11 +40,19 @@ USER_EXPRESSIONS: dict[str, str] = {
 }
 
 
+# Columns read of each table. Given as schemas, so that no job is run to infer them.
+TABLE_COLUMNS: dict[str, str] = {
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def users_of_customers(spark: SparkSession, folder: str) -> DataFrame:
     """One raw user per customer, in twelve dated batches."""
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        return spark.read.schema(TABLE_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
     joined = (
         table("customer")

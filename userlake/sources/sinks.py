@@ -19,7 +19,7 @@ FILE_FORMATS = {"parquet_snappy": "snappy", "parquet_plain": "none"}
 
 # CSV options under which text comes back as it was, spaces and nulls included.
 CSV_OPTIONS = {
-    "header": True, "nullValue": "\\N", "emptyValue": "", "escape": '"',
+    "header": True, "nullValue": "\\N", "escape": '"',
     "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
 }
 
