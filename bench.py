@@ -46,6 +46,9 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # The customer tables and the cleaning rules fuse into one long generated method;
+        # without this the JVM would interpret it instead of compiling it.
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

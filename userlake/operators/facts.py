@@ -15,12 +15,14 @@ from userlake.operators.ranking import with_row_number
 def with_batch_total(fact: DataFrame, users: DataFrame, name: str) -> DataFrame:
     """Add the number of users in the row's batch.
 
-    The totals come from a count of the batch column alone (one row per batch)
-    and are joined back, so a batch's rows need not meet in one task as they
-    would in a window over the batch.
+    The totals come from a count of the batch column alone and are joined back,
+    so a batch's rows need not meet in one task as they would in a window over
+    the batch. Batches are dated, so the totals are at most one row per day,
+    which is the bound that lets them be broadcast.
     """
     totals = users.groupBy(F.col("processing_date").alias("_batch")).agg(rows().alias(name))
-    return fact.join(totals, F.col("processing_date").eqNullSafe(F.col("_batch"))).drop("_batch")
+    same_batch = F.col("processing_date").eqNullSafe(F.col("_batch"))
+    return fact.join(F.broadcast(totals), same_batch).drop("_batch")
 
 
 def user_demographics(users: DataFrame, ctx: RunContext) -> DataFrame:

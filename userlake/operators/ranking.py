@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -25,36 +25,28 @@ def with_row_number(
     columns. That hash is uniform, so its leading digits cut any run of ties
     into even slots: a row's number is the count of all rows in earlier
     (order value, slot) cells plus its place in its own cell. Only the cell
-    counts are windowed per group. The input is an aggregate, and n rows can
-    add up to a count total N with at most sqrt(2N) different counts, so the
-    cells stay few however many rows the group has.
+    counts are windowed per group. They stay few where the order value is a
+    count of users: n groups of users with different counts hold at least
+    n(n+1)/2 users, so N users give at most sqrt(2N) order values.
     """
     tie_text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ties]
     keyed = df.withColumn("_tie", F.md5(F.concat_ws("|", *tie_text)))
     keyed = keyed.withColumn("_slot", F.substring("_tie", 1, _SLOT_DIGITS))
-    cell = [*group, order, "_slot"]
+    # One key for both the window and the join, so that they share an exchange.
+    # Structs compare nulls inside as equal, so no row is lost to a null.
+    keyed = keyed.withColumn("_cell", F.struct(*group, order, "_slot"))
 
-    first = F.desc_nulls_first(order) if descending else F.asc_nulls_last(order)
+    first = F.desc_nulls_first if descending else F.asc_nulls_last
     earlier = (
-        W.partitionBy(*group)
-        .orderBy(first, "_slot")
+        W.partitionBy(*[f"_at.{c}" for c in group])
+        .orderBy(first(f"_at.{order}"), "_at._slot")
         .rowsBetween(W.unboundedPreceding, -1)
     )
-    counts = keyed.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = counts.select(
-        *[F.col(c).alias(f"_at_{c}") for c in cell],
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-    )
+    counts = keyed.groupBy(F.col("_cell").alias("_at")).agg(F.count(F.lit(1)).alias("_rows"))
+    offsets = counts.select("_at", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
 
-    here = W.partitionBy(*cell).orderBy("_tie", *ties)
+    here = W.partitionBy("_cell").orderBy("_tie", *ties)
     numbered = keyed.withColumn("_place", F.row_number().over(here))
-    return numbered.join(offsets, _same_cell(cell)).select(
+    return numbered.join(offsets, F.col("_cell") == F.col("_at")).select(
         *df.columns, (F.col("_before") + F.col("_place")).cast("int").alias(name)
     )
-
-
-def _same_cell(cell: Sequence[str]) -> Column:
-    match = F.lit(True)
-    for column in cell:
-        match = match & F.col(column).eqNullSafe(F.col(f"_at_{column}"))
-    return match

@@ -86,9 +86,12 @@ PARTITIONS: dict[str, list[str]] = {
 READERS: dict[str, Builder] = {**gold.VIEWS, **checks.CHECKS, **bronze.CHECKS, **reports.REPORTS}
 
 
-def tables_from_raw(raw: DataFrame, ctx: RunContext) -> Tables:
-    """Every table, derived lazily from raw user records."""
-    return Tables({RAW: lambda _: raw, **INGEST_SUMMARIES, **SILVER, **READERS}, ctx)
+def tables_from_raw(raw: DataFrame, ctx: RunContext, cleaned: DataFrame | None = None) -> Tables:
+    """Every table, derived lazily from raw user records, or from cleaned ones where given."""
+    given = {RAW: lambda _: raw}
+    if cleaned is not None:
+        given[USERS] = lambda _: cleaned
+    return Tables({**INGEST_SUMMARIES, **SILVER, **READERS, **given}, ctx)
 
 
 def tables_from_store(spark: SparkSession, database: str, ctx: RunContext) -> Tables:

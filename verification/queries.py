@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.types import ArrayType, TimestampType
 
 from userlake import RunContext, Tables, tables_from_raw
 from userlake.operators import facts, summaries, trends
-from userlake.operators.users import enrich, validate_and_cleanse
+from userlake.operators.users import enrich, users_transformed, validate_and_cleanse
 from userlake.sources import catalog, records, sinks
 from userlake.sources.fixture import users_of_customers
 from userlake.sources.scratch import scratch_folder
@@ -44,8 +45,16 @@ ORDER_DEPENDENT: dict[str, list[str]] = {
 RAW_DATED = [*records.RAW_COLUMNS, "processing_date"]
 
 
+@lru_cache(maxsize=4)
+def users_of(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The plans of the raw and the cleaned users, put together once per session."""
+    raw = users_of_customers(spark, folder)
+    return raw, users_transformed(raw, CONTEXT)
+
+
 def lake(spark: SparkSession, folder: str) -> Tables:
-    return tables_from_raw(users_of_customers(spark, folder), CONTEXT)
+    raw, users = users_of(spark, folder)
+    return tables_from_raw(raw, CONTEXT, users)
 
 
 def _named(name: str) -> Query:
