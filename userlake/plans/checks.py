@@ -55,9 +55,9 @@ def segment_x_quality(t: Tables) -> DataFrame:
         .when(average.between(50, 79), "Medium Quality")
         .when(average.between(0, 49), "Low Quality")
     )
-    segments = t["vw_target_segment_distribution"].withColumn("quality_tier", tier)
+    segments = t.unordered("vw_target_segment_distribution").withColumn("quality_tier", tier)
     return (
-        segments.join(t["vw_data_quality_distribution"], "quality_tier", "left")
+        segments.join(t.unordered("vw_data_quality_distribution"), "quality_tier", "left")
         .select(
             "target_segment", "user_count",
             F.col("percentage").alias("demo_percentage"),
@@ -70,14 +70,14 @@ def segment_x_quality(t: Tables) -> DataFrame:
 
 def _high_engagement(t: Tables) -> Column:
     """The highly engaged generations: at most one row per generation label."""
-    high = t["vw_engagement_by_generation"].filter("engagement_tier = 'High'")
+    high = t.unordered("vw_engagement_by_generation").filter("engagement_tier = 'High'")
     return few_rows(high, "segment_count", "avg_business_email_pct")
 
 
 @check
 def country_x_engagement(t: Tables) -> DataFrame:
     return (
-        t["vw_top_countries"]
+        t.unordered("vw_top_countries")
         .filter("user_count_rank <= 10")
         .withColumn("high", F.explode_outer(_high_engagement(t)))
         .select(
@@ -93,17 +93,17 @@ def country_x_engagement(t: Tables) -> DataFrame:
 
 @check
 def provider_x_age(t: Tables) -> DataFrame:
-    ages = t["vw_email_provider_age_demographics"].select(
+    ages = t.unordered("vw_email_provider_age_demographics").select(
         "email_provider_type", F.col("avg_age").alias("provider_avg_age"), "unique_domains"
     )
-    shares = t["vw_email_provider_market_share"].select("email_provider_type", "market_share_pct")
+    shares = t.unordered("vw_email_provider_market_share").select("email_provider_type", "market_share_pct")
     return shares.join(ages, "email_provider_type").orderBy(down("market_share_pct"), "email_provider_type")
 
 
 @check
 def dashboard_top20(t: Tables) -> DataFrame:
     return (
-        t["vw_time_series_executive_dashboard"]
+        t.unordered("vw_time_series_executive_dashboard")
         .orderBy(down("processing_date"), down("growth_rate"), "metric_category", up("period"))
         .limit(20)
     )
@@ -112,7 +112,7 @@ def dashboard_top20(t: Tables) -> DataFrame:
 @check
 def expansion_insights(t: Tables) -> DataFrame:
     return (
-        t["vw_geographic_expansion_insights"]
+        t.unordered("vw_geographic_expansion_insights")
         .orderBy(down("total_users"), "expansion_category", "processing_date")
         .select(
             "expansion_category", "countries_in_category", "total_users", "avg_acquisition_rate",
@@ -124,7 +124,7 @@ def expansion_insights(t: Tables) -> DataFrame:
 @check
 def age_trend_top15(t: Tables) -> DataFrame:
     return (
-        t["vw_age_group_trends"]
+        t.unordered("vw_age_group_trends")
         .filter(F.col("trend_direction").isin("Growing", "Rapidly Growing"))
         .orderBy(
             down("trend_magnitude"), down("registration_year"), "age_group", "generation", "processing_date"
@@ -150,7 +150,7 @@ def executive_unpivot(t: Tables) -> DataFrame:
         ("Overall Quality Score", F.round("overall_quality_score", 2), "score"),
     ]
     cells = [c for name, figure, unit in lines for c in (F.lit(name), figure.cast("string"), F.lit(unit))]
-    return t["vw_executive_summary"].select(
+    return t.unordered("vw_executive_summary").select(
         F.stack(F.lit(len(lines)), *cells).alias("metric", "value", "unit")
     )
 
@@ -163,7 +163,7 @@ def quality_health_check(t: Tables) -> DataFrame:
         "Good Quality": "Good Batch",
         "Needs Improvement": "Needs Improvement",
     }
-    batches = t["vw_data_quality_batch_distribution"]
+    batches = t.unordered("vw_data_quality_batch_distribution")
     counts, cells = [], []
     for position, (label, tier) in enumerate(tiers.items()):
         here = F.col("batch_quality_tier") == tier
@@ -181,13 +181,13 @@ def quality_health_check(t: Tables) -> DataFrame:
 def country_opportunity(t: Tables) -> DataFrame:
     """Leading countries beside the one city with the highest business share."""
     best = (
-        t["vw_cities_business_email_concentration"]
+        t.unordered("vw_cities_business_email_concentration")
         .orderBy(down("business_email_percentage"), down("user_count"), up("geographic_level"))
         .limit(1)
     )
     city = row_or_null(best, "geographic_level", "business_email_percentage")
     return (
-        t["vw_top_countries"]
+        t.unordered("vw_top_countries")
         .filter("user_count_rank <= 5")
         .select(
             "country", "user_count", "business_email_percentage",
@@ -201,7 +201,7 @@ def country_opportunity(t: Tables) -> DataFrame:
 @check
 def age_engagement_rate(t: Tables) -> DataFrame:
     return (
-        t["vw_gender_by_age_group"]
+        t.unordered("vw_gender_by_age_group")
         .withColumn("high", F.explode_outer(_high_engagement(t)))
         .select(
             "age_group", "total_users",
@@ -217,7 +217,7 @@ def age_engagement_rate(t: Tables) -> DataFrame:
 @check
 def monthly_business_12(t: Tables) -> DataFrame:
     return (
-        t["vw_monthly_business_summary"]
+        t.unordered("vw_monthly_business_summary")
         .orderBy(down("month"), down("processing_date"))
         .limit(12)
         .drop("processing_date")
@@ -227,7 +227,7 @@ def monthly_business_12(t: Tables) -> DataFrame:
 @check
 def expansion_timeline_20(t: Tables) -> DataFrame:
     return (
-        t["vw_country_expansion_timeline"]
+        t.unordered("vw_country_expansion_timeline")
         .orderBy(down("first_user_date"), "country", "processing_date")
         .limit(20)
         .select(
@@ -240,7 +240,7 @@ def expansion_timeline_20(t: Tables) -> DataFrame:
 @check
 def generation_performance_15(t: Tables) -> DataFrame:
     return (
-        t["vw_generation_performance_timeline"]
+        t.unordered("vw_generation_performance_timeline")
         .orderBy(down("registration_year"), down("total_generation_users"), "generation", "processing_date")
         .limit(15)
         .drop("processing_date")
@@ -253,7 +253,7 @@ def generation_performance_15(t: Tables) -> DataFrame:
 @check
 def gold_freshness(t: Tables) -> DataFrame:
     return (
-        t["vw_executive_summary"]
+        t.unordered("vw_executive_summary")
         .groupBy(F.col("report_generated_at").alias("last_update"))
         .agg(F.lit("Gold Layer Views").alias("layer"), rows().alias("view_count"))
     )
@@ -264,7 +264,7 @@ def low_quality_alert(t: Tables) -> DataFrame:
     score = F.col("avg_score")
     severity = F.when(score < 30, "CRITICAL").when(score < 50, "WARNING").otherwise("OK")
     return (
-        t["vw_data_quality_batch_distribution"]
+        t.unordered("vw_data_quality_batch_distribution")
         .filter((F.col("batch_quality_tier") == "Needs Improvement") | (score < 50))
         .select(
             F.lit("LOW_QUALITY_ALERT").alias("alert_type"),
@@ -284,7 +284,7 @@ def completeness_alert(t: Tables) -> DataFrame:
         .when(silver & low_phone, "PHONE_VALIDATION_LOW")
         .otherwise("OK")
     )
-    return t["vw_bronze_vs_silver_completeness"].select(
+    return t.unordered("vw_bronze_vs_silver_completeness").select(
         F.lit("COMPLETENESS_COMPARISON").alias("alert_type"), "*", status.alias("alert_status")
     )
 
@@ -303,7 +303,7 @@ def registration_anomaly_alert(t: Tables) -> DataFrame:
         "period_type", "time_period", "registrations", "z_score", "anomaly_severity", "action_required",
         "processing_date",
     ]
-    return _severe(t["vw_registration_anomalies_summary"], "REGISTRATION_ANOMALY", columns)
+    return _severe(t.unordered("vw_registration_anomalies_summary"), "REGISTRATION_ANOMALY", columns)
 
 
 @check
@@ -311,7 +311,7 @@ def quality_anomaly_alert(t: Tables) -> DataFrame:
     columns = [
         "processing_date", "avg_quality_score", "z_score", "anomaly_severity", "quality_status", "total_records",
     ]
-    return _severe(t["vw_quality_anomalies_summary"], "QUALITY_ANOMALY", columns)
+    return _severe(t.unordered("vw_quality_anomalies_summary"), "QUALITY_ANOMALY", columns)
 
 
 @check
@@ -324,7 +324,7 @@ def quality_trend_alert(t: Tables) -> DataFrame:
         .otherwise("NORMAL_VARIATION")
     )
     return (
-        t["vw_quality_improvement_tracking"]
+        t.unordered("vw_quality_improvement_tracking")
         .filter(direction != "Neutral")
         .orderBy(down("processing_date"), down("change_magnitude"))
         .limit(10)
@@ -347,7 +347,7 @@ def growth_rate_alert(t: Tables) -> DataFrame:
         .otherwise("NORMAL_GROWTH")
     )
     return (
-        t["vw_monthly_registration_trends"]
+        t.unordered("vw_monthly_registration_trends")
         .filter(growth.isNull() | (F.abs(growth) > 10))
         .orderBy(down("processing_date"), F.abs(growth).desc_nulls_first(), down("time_period"))
         .limit(15)
@@ -363,7 +363,7 @@ def growth_rate_alert(t: Tables) -> DataFrame:
 
 @check
 def registration_x_quality(t: Tables) -> DataFrame:
-    quality = t["vw_data_quality_trend_overview"].select(
+    quality = t.unordered("vw_data_quality_trend_overview").select(
         "processing_date", "avg_quality_score", "quality_change", "quality_trend"
     )
     growth, change = F.col("registration_growth"), F.col("quality_change")
@@ -374,7 +374,7 @@ def registration_x_quality(t: Tables) -> DataFrame:
         .when((growth < 0) & (change < 0), "Decline with Quality Decline")
         .otherwise("Mixed or Stable")
     )
-    months = t["vw_monthly_registration_trends"].select(
+    months = t.unordered("vw_monthly_registration_trends").select(
         F.col("time_period").alias("month"),
         "registrations",
         F.col("growth_rate").alias("registration_growth"),
@@ -391,12 +391,12 @@ def registration_x_quality(t: Tables) -> DataFrame:
 
 @check
 def demographics_x_expansion(t: Tables) -> DataFrame:
-    expansion = t["vw_geographic_expansion_insights"].select(
+    expansion = t.unordered("vw_geographic_expansion_insights").select(
         "processing_date", "expansion_category", "avg_acquisition_rate",
         F.col("total_users").alias("geo_total_users"),
     )
     return (
-        t["vw_fastest_growing_demographics"]
+        t.unordered("vw_fastest_growing_demographics")
         .filter("growth_rank <= 5")
         .select("age_group", "generation", "trend_magnitude", "total_users_in_group", "processing_date")
         .join(expansion, "processing_date", "left")
@@ -408,10 +408,10 @@ def demographics_x_expansion(t: Tables) -> DataFrame:
 @check
 def penetration_x_days(t: Tables) -> DataFrame:
     """Every expansion category and batch beside the three most popular weekdays."""
-    popular = t["vw_registration_day_patterns"].filter("popularity_rank <= 3")
+    popular = t.unordered("vw_registration_day_patterns").filter("popularity_rank <= 3")
     days = few_rows(popular, "day_name", "registrations", "percentage_of_weekly_registrations")
     return (
-        t["vw_market_penetration_analysis"]
+        t.unordered("vw_market_penetration_analysis")
         .withColumn("day", F.explode(days))
         .select(
             "expansion_category",

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from userlake.functions.measures import down, rows, share, steady_avg, tally, up
 from userlake.functions.scoring import quality_tier
-from userlake.plans.naming import collector
+from userlake.plans.naming import ordered_collector
 
 if TYPE_CHECKING:
     from userlake.tables import Tables
 
 VIEWS: dict = {}
-view = collector(VIEWS)
+ORDERS: dict[str, tuple[str, ...]] = {}
+view = ordered_collector(VIEWS, ORDERS)
 
 
 def _rounded(name: str, digits: int) -> Column:
@@ -26,41 +27,37 @@ def _rounded(name: str, digits: int) -> Column:
 # --- users -----------------------------------------------------------------
 
 
-@view
+@view("age_group", "generation")
 def vw_age_generation_distribution(t: Tables) -> DataFrame:
     groups = t["users_transformed"].groupBy("age_group", "generation").agg(rows().alias("user_count"))
     # The window holds at most age groups x generations.
     everyone = F.sum("user_count").over(W.partitionBy())
-    return groups.withColumn("percentage", share(F.col("user_count"), everyone)).orderBy(
-        "age_group", "generation"
-    )
+    return groups.withColumn("percentage", share(F.col("user_count"), everyone))
 
 
-@view
+@view("-avg_score")
 def vw_data_quality_distribution(t: Tables) -> DataFrame:
     score = F.col("data_quality_score")
     return (
         t["users_transformed"]
         .groupBy(quality_tier(score).alias("quality_tier"))
         .agg(rows().alias("count"), F.avg(score).alias("avg_score"))
-        .orderBy(down("avg_score"))
     )
 
 
-@view
+@view("-user_count", "email_provider_type")
 def vw_email_provider_analysis(t: Tables) -> DataFrame:
     return (
         t["users_transformed"]
         .groupBy("email_provider_type")
         .agg(rows().alias("user_count"), F.countDistinct("email_domain").alias("unique_domains"))
-        .orderBy(down("user_count"), "email_provider_type")
     )
 
 
 # --- demographics ----------------------------------------------------------
 
 
-@view
+@view("-user_count", "target_segment")
 def vw_target_segment_distribution(t: Tables) -> DataFrame:
     segments = t["dim_user_demographics"].groupBy("target_segment").agg(
         rows().alias("user_count"), F.avg("data_quality_score").alias("avg_quality_score")
@@ -72,10 +69,10 @@ def vw_target_segment_distribution(t: Tables) -> DataFrame:
         "user_count",
         share(F.col("user_count"), everyone).alias("percentage"),
         "avg_quality_score",
-    ).orderBy(down("user_count"), "target_segment")
+    )
 
 
-@view
+@view("generation", "age_group")
 def vw_demographics_by_generation_age(t: Tables) -> DataFrame:
     return (
         t["dim_user_demographics"]
@@ -85,25 +82,23 @@ def vw_demographics_by_generation_age(t: Tables) -> DataFrame:
             F.countDistinct("country").alias("countries"),
             F.avg("demographic_score").alias("avg_demographic_score"),
         )
-        .orderBy("generation", "age_group")
     )
 
 
 # --- geography -------------------------------------------------------------
 
 
-@view
+@view("-user_count", "country", "user_count_rank", "avg_age", "male_percentage", "business_email_percentage")
 def vw_top_countries(t: Tables) -> DataFrame:
     countries = t["fact_geographic_analysis"].filter("analysis_type = 'country'")
-    ordered = countries.orderBy(down("user_count"), up("geographic_level"), "processing_date")
-    return ordered.select(
+    return countries.select(
         F.col("geographic_level").alias("country"),
         "user_count", "avg_age", "male_percentage", "female_percentage",
         "business_email_percentage", "user_count_rank",
     )
 
 
-@view
+@view()
 def vw_geographic_diversity(t: Tables) -> DataFrame:
     return t["fact_geographic_analysis"].groupBy("analysis_type").agg(
         rows().alias("total_locations"),
@@ -113,20 +108,19 @@ def vw_geographic_diversity(t: Tables) -> DataFrame:
     )
 
 
-@view
+@view("-business_email_percentage", "geographic_level")
 def vw_cities_business_email_concentration(t: Tables) -> DataFrame:
     return (
         t["fact_geographic_analysis"]
         .filter("analysis_type = 'city' AND user_count >= 5")
         .select("geographic_level", "user_count", "business_email_percentage", "avg_data_quality")
-        .orderBy(down("business_email_percentage"), up("geographic_level"))
     )
 
 
 # --- age and generation ----------------------------------------------------
 
 
-@view
+@view("generation", "engagement_tier")
 def vw_engagement_by_generation(t: Tables) -> DataFrame:
     return (
         t["fact_age_generation_analysis"]
@@ -137,11 +131,10 @@ def vw_engagement_by_generation(t: Tables) -> DataFrame:
             steady_avg(F.col("business_email_percentage")).alias("avg_business_email_pct"),
             steady_avg(F.col("veteran_percentage")).alias("avg_veteran_pct"),
         )
-        .orderBy("generation", "engagement_tier")
     )
 
 
-@view
+@view("age_group", "gender")
 def vw_gender_by_age_group(t: Tables) -> DataFrame:
     return (
         t["fact_age_generation_analysis"]
@@ -151,11 +144,10 @@ def vw_gender_by_age_group(t: Tables) -> DataFrame:
             steady_avg(F.col("avg_data_quality")).alias("avg_quality"),
             F.avg("countries_represented").alias("avg_countries_represented"),
         )
-        .orderBy("age_group", "gender")
     )
 
 
-@view
+@view("-engagement_score", "age_group", "generation", "gender")
 def vw_high_engagement_segments(t: Tables) -> DataFrame:
     return (
         t["fact_age_generation_analysis"]
@@ -164,14 +156,13 @@ def vw_high_engagement_segments(t: Tables) -> DataFrame:
             "age_group", "generation", "gender", "user_count", "engagement_score",
             "business_email_percentage", "veteran_percentage",
         )
-        .orderBy(down("engagement_score"), "age_group", "generation", "gender")
     )
 
 
 # --- e-mail ----------------------------------------------------------------
 
 
-@view
+@view("-total_users", "email_provider_type")
 def vw_email_provider_market_share(t: Tables) -> DataFrame:
     providers = t["fact_email_provider_analysis"]
     # The window holds one row per provider type and batch.
@@ -180,10 +171,10 @@ def vw_email_provider_market_share(t: Tables) -> DataFrame:
         "email_provider_type", "total_users", "unique_domains",
         share(F.col("total_users"), everyone).alias("market_share_pct"),
         "avg_age", "countries_represented",
-    ).orderBy(down("total_users"), "email_provider_type")
+    )
 
 
-@view
+@view("-market_share_percentage", "email_domain")
 def vw_top_email_domains(t: Tables) -> DataFrame:
     return (
         t["fact_email_domain_analysis"]
@@ -192,11 +183,10 @@ def vw_top_email_domains(t: Tables) -> DataFrame:
             "email_domain", "email_provider_type", "user_count", "market_share_percentage",
             "avg_user_age", "countries_using", "gender_ratio_male_female",
         )
-        .orderBy(down("market_share_percentage"), up("email_domain"))
     )
 
 
-@view
+@view("-total_users", "email_provider_type")
 def vw_email_provider_age_demographics(t: Tables) -> DataFrame:
     return (
         t["fact_email_domain_analysis"]
@@ -207,14 +197,13 @@ def vw_email_provider_age_demographics(t: Tables) -> DataFrame:
             F.sum("user_count").alias("total_users"),
             F.round(steady_avg(F.col("gender_ratio_male_female")), 2).alias("avg_gender_ratio"),
         )
-        .orderBy(down("total_users"), "email_provider_type")
     )
 
 
 # --- data quality ----------------------------------------------------------
 
 
-@view
+@view("-processing_date")
 def vw_data_quality_metrics(t: Tables) -> DataFrame:
     return (
         t["fact_data_quality_metrics"]
@@ -223,11 +212,10 @@ def vw_data_quality_metrics(t: Tables) -> DataFrame:
             "email_validity_percentage", "phone_validity_percentage", "data_completeness_score",
             "avg_quality_score",
         )
-        .orderBy(down("processing_date"))
     )
 
 
-@view
+@view("-avg_segment_quality", "age_group", "generation")
 def vw_quality_by_segment(t: Tables) -> DataFrame:
     """Segment rows once per target segment that occurs in their age group and generation."""
     targets = t["dim_user_demographics"].select("age_group", "generation", "target_segment").distinct()
@@ -235,12 +223,10 @@ def vw_quality_by_segment(t: Tables) -> DataFrame:
         "age_group", "generation", "segment_total", "avg_segment_quality",
         "segment_email_validity_rate", "segment_phone_validity_rate",
     )
-    return segments.join(targets, ["age_group", "generation"], "left").orderBy(
-        down("avg_segment_quality"), "age_group", "generation"
-    )
+    return segments.join(targets, ["age_group", "generation"], "left")
 
 
-@view
+@view()
 def vw_data_quality_batch_distribution(t: Tables) -> DataFrame:
     excellent, good = F.col("excellent_quality_percentage"), F.col("good_quality_percentage")
     tier = (
@@ -258,7 +244,7 @@ def vw_data_quality_batch_distribution(t: Tables) -> DataFrame:
 # --- raw against cleaned ---------------------------------------------------
 
 
-@view
+@view()
 def vw_bronze_vs_silver_completeness(t: Tables) -> DataFrame:
     absent = F.lit(None).cast("bigint")
     bronze = t["raw_users"].agg(
@@ -280,7 +266,7 @@ def vw_bronze_vs_silver_completeness(t: Tables) -> DataFrame:
     return bronze.unionByName(silver)
 
 
-@view
+@view()
 def vw_data_enrichment_impact(t: Tables) -> DataFrame:
     def labelled(users: DataFrame, kind: str, level: str) -> DataFrame:
         return users.agg(
@@ -292,10 +278,10 @@ def vw_data_enrichment_impact(t: Tables) -> DataFrame:
     return before.unionByName(labelled(t["users_transformed"], "Enriched Data Fields", f"Added: {added}"))
 
 
-@view
+@view()
 def vw_executive_summary(t: Tables) -> DataFrame:
     def value(name: str, figure: Column) -> Column:
-        return t[name].select(figure).scalar()
+        return t.unordered(name).select(figure).scalar()
 
     return t["users_transformed"].agg(rows().alias("total_users")).withColumns(
         {
@@ -317,7 +303,7 @@ def _periods(t: Tables, kind: str) -> DataFrame:
     return t["fact_registration_trends"].filter(F.col("period_type") == kind)
 
 
-@view
+@view("-time_period", "-processing_date")
 def vw_monthly_registration_trends(t: Tables) -> DataFrame:
     growth = F.col("growth_rate")
     category = (
@@ -333,11 +319,10 @@ def vw_monthly_registration_trends(t: Tables) -> DataFrame:
             "male_percentage", "female_percentage", _rounded("avg_data_quality", 1),
             "growth_rate", category.alias("growth_category"), "processing_date",
         )
-        .orderBy(down("time_period"), down("processing_date"))
     )
 
 
-@view
+@view("-time_period", "-processing_date")
 def vw_quarterly_registration_performance(t: Tables) -> DataFrame:
     # The window holds one row per quarter and batch.
     rank = F.rank().over(W.orderBy(down("registrations")))
@@ -352,11 +337,10 @@ def vw_quarterly_registration_performance(t: Tables) -> DataFrame:
             "performance_tier",
             F.when(place <= 2, "Top Performer").when(place <= 4, "Good Performer").otherwise("Needs Improvement"),
         )
-        .orderBy(down("time_period"), down("processing_date"))
     )
 
 
-@view
+@view("-registrations", "day_name", "processing_date")
 def vw_registration_day_patterns(t: Tables) -> DataFrame:
     # Both windows hold one row per weekday and batch.
     everyone = F.sum("registrations").over(W.partitionBy())
@@ -369,14 +353,13 @@ def vw_registration_day_patterns(t: Tables) -> DataFrame:
             share(F.col("registrations"), everyone).alias("percentage_of_weekly_registrations"),
             "processing_date",
         )
-        .orderBy(down("registrations"), "day_name", "processing_date")
     )
 
 
 # --- geographic expansion --------------------------------------------------
 
 
-@view
+@view("-user_acquisition_rate", "country", "processing_date")
 def vw_top_growing_countries(t: Tables) -> DataFrame:
     return (
         t["fact_geographic_expansion"]
@@ -387,11 +370,10 @@ def vw_top_growing_countries(t: Tables) -> DataFrame:
             "days_since_first_user", "first_user_date", "user_count_rank", "expansion_rate_rank",
             "processing_date",
         )
-        .orderBy(down("user_acquisition_rate"), up("country"), "processing_date")
     )
 
 
-@view
+@view("-total_users", "expansion_category", "processing_date")
 def vw_market_penetration_analysis(t: Tables) -> DataFrame:
     return (
         t["fact_geographic_expansion"]
@@ -405,11 +387,10 @@ def vw_market_penetration_analysis(t: Tables) -> DataFrame:
             F.min("first_user_date").alias("earliest_expansion_date"),
             F.max("first_user_date").alias("latest_expansion_date"),
         )
-        .orderBy(down("total_users"), "expansion_category", "processing_date")
     )
 
 
-@view
+@view("first_user_date", "country_rank_in_year")
 def vw_country_expansion_timeline(t: Tables) -> DataFrame:
     # One row per country and batch, so a window holds the countries first seen in one year.
     entries = W.partitionBy(F.year("first_user_date")).orderBy(up("first_user_date"), "country", "processing_date")
@@ -422,21 +403,19 @@ def vw_country_expansion_timeline(t: Tables) -> DataFrame:
             F.row_number().over(entries).alias("country_rank_in_year"),
             "processing_date",
         )
-        .orderBy(up("first_user_date"), "country_rank_in_year")
     )
 
 
 # --- age trends ------------------------------------------------------------
 
 
-@view
+@view("-registration_year", "-trend_magnitude", "age_group", "generation", "processing_date")
 def vw_age_group_trends(t: Tables) -> DataFrame:
     direction = F.col("trend_direction")
     rapid = direction.isin("Growing", "Declining") & (F.col("trend_magnitude") > 5)
     intensity = F.when(rapid, F.concat(F.lit("Rapidly "), direction)).otherwise(direction)
     return (
         t["fact_age_demographic_trends"]
-        .orderBy(down("registration_year"), down("trend_magnitude"), "age_group", "generation", "processing_date")
         .select(
             "age_group", "generation", "registration_year", "total_users_in_group", "percentage_of_year",
             "trend_direction", _rounded("trend_magnitude", 2), intensity.alias("trend_intensity"),
@@ -445,7 +424,7 @@ def vw_age_group_trends(t: Tables) -> DataFrame:
     )
 
 
-@view
+@view("-registration_year", "-total_generation_users", "generation", "processing_date")
 def vw_generation_performance_timeline(t: Tables) -> DataFrame:
     return (
         t["fact_age_demographic_trends"]
@@ -457,11 +436,10 @@ def vw_generation_performance_timeline(t: Tables) -> DataFrame:
             F.round(steady_avg(F.col("avg_data_quality")), 1).alias("avg_data_quality"),
             F.sum("total_countries").alias("total_countries_reached"),
         )
-        .orderBy(down("registration_year"), down("total_generation_users"), "generation", "processing_date")
     )
 
 
-@view
+@view("-registration_year", "-trend_magnitude", "age_group", "generation", "processing_date")
 def vw_fastest_growing_demographics(t: Tables) -> DataFrame:
     # The window holds age groups x generations x batches of one year.
     of_year = W.partitionBy("registration_year").orderBy(down("trend_magnitude"))
@@ -473,14 +451,13 @@ def vw_fastest_growing_demographics(t: Tables) -> DataFrame:
             "trend_direction", "percentage_of_year", F.rank().over(of_year).alias("growth_rank"),
             "processing_date",
         )
-        .orderBy(down("registration_year"), down("trend_magnitude"), "age_group", "generation", "processing_date")
     )
 
 
 # --- quality trends --------------------------------------------------------
 
 
-@view
+@view("-processing_date")
 def vw_data_quality_trend_overview(t: Tables) -> DataFrame:
     trend, change = F.col("quality_trend"), F.col("quality_change")
     intensity = (
@@ -499,11 +476,10 @@ def vw_data_quality_trend_overview(t: Tables) -> DataFrame:
             "quality_trend", _rounded("quality_change", 2), intensity.alias("quality_trend_intensity"),
             previous.alias("previous_avg_quality"),
         )
-        .orderBy(down("processing_date"))
     )
 
 
-@view
+@view("-processing_date")
 def vw_quality_improvement_tracking(t: Tables) -> DataFrame:
     change = F.col("quality_change")
     high = F.col("excellent_quality_count") + F.col("good_quality_count")
@@ -519,7 +495,6 @@ def vw_quality_improvement_tracking(t: Tables) -> DataFrame:
             share(high, F.col("total_records")).alias("high_quality_percentage"),
             "total_records",
         )
-        .orderBy(down("processing_date"))
     )
 
 
@@ -536,7 +511,7 @@ def _advice(critical: str, high: str, medium: str, otherwise: str) -> Column:
     )
 
 
-@view
+@view("-z_score", "-processing_date")
 def vw_registration_anomalies_summary(t: Tables) -> DataFrame:
     action = _advice(
         "Immediate Attention Required", "Investigation Recommended", "Monitor Closely", "Normal Variation"
@@ -548,11 +523,10 @@ def vw_registration_anomalies_summary(t: Tables) -> DataFrame:
             "period_type", "time_period", "registrations", _rounded("z_score", 2), "anomaly_type",
             "anomaly_severity", "growth_rate", action.alias("action_required"), "processing_date",
         )
-        .orderBy(down("z_score"), down("processing_date"))
     )
 
 
-@view
+@view("-z_score", "-processing_date")
 def vw_quality_anomalies_summary(t: Tables) -> DataFrame:
     status = _advice("Data Quality Crisis", "Quality Issue Detected", "Quality Variation", "Normal Quality Range")
     return (
@@ -563,14 +537,13 @@ def vw_quality_anomalies_summary(t: Tables) -> DataFrame:
             "anomaly_severity", "quality_trend", _rounded("quality_change", 2),
             status.alias("quality_status"), "total_records",
         )
-        .orderBy(down("z_score"), down("processing_date"))
     )
 
 
 # --- dashboards ------------------------------------------------------------
 
 
-@view
+@view("-processing_date")
 def vw_time_series_executive_dashboard(t: Tables) -> DataFrame:
     def lines(df: DataFrame, category: str, kind: str, period: str, value: str, growth: Column) -> DataFrame:
         return df.select(
@@ -592,10 +565,10 @@ def vw_time_series_executive_dashboard(t: Tables) -> DataFrame:
         lines(t["fact_data_quality_trends"], "Data Quality", "Trend", "processing_date", "avg_quality_score",
               F.coalesce("quality_change", zero)),
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).orderBy(down("processing_date"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@view
+@view("-processing_date", "-z_score")
 def vw_anomaly_alert_dashboard(t: Tables) -> DataFrame:
     def alerts(name: str, category: str, identifier: str, metric: str) -> DataFrame:
         severe = t[name].filter(F.col("is_anomaly") & F.col("anomaly_severity").isin("Critical", "High"))
@@ -611,10 +584,10 @@ def vw_anomaly_alert_dashboard(t: Tables) -> DataFrame:
 
     registrations = alerts("fact_registration_anomalies", "Registration", "time_period", "registrations")
     quality = alerts("fact_quality_anomalies", "Data Quality", "processing_date", "avg_quality_score")
-    return registrations.unionByName(quality).orderBy(down("processing_date"), down("z_score"))
+    return registrations.unionByName(quality)
 
 
-@view
+@view("-month", "-processing_date")
 def vw_monthly_business_summary(t: Tables) -> DataFrame:
     quality = t["fact_data_quality_trends"].select(
         "processing_date",
@@ -640,11 +613,10 @@ def vw_monthly_business_summary(t: Tables) -> DataFrame:
     return (
         months.join(quality, "processing_date", "left")
         .withColumn("overall_performance", performance)
-        .orderBy(down("month"), down("processing_date"))
     )
 
 
-@view
+@view("-total_users", "expansion_category", "processing_date")
 def vw_geographic_expansion_insights(t: Tables) -> DataFrame:
     return (
         t["fact_geographic_expansion"]
@@ -658,5 +630,4 @@ def vw_geographic_expansion_insights(t: Tables) -> DataFrame:
             F.max("first_user_date").alias("latest_entry_date"),
             F.round(steady_avg(F.col("avg_user_age")), 1).alias("avg_user_age_in_category"),
         )
-        .orderBy(down("total_users"), "expansion_category", "processing_date")
     )

@@ -8,6 +8,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import DataFrame, SparkSession
 
 from userlake.context import RunContext
+from userlake.functions.measures import down, up
 from userlake.operators import anomalies, facts, summaries, trends, users
 from userlake.plans import bronze, checks, gold, reports
 
@@ -26,11 +27,17 @@ class Tables(Mapping[str, DataFrame]):
         self._builders = dict(builders)
         self._built: dict[str, DataFrame] = {}
 
-    def __getitem__(self, name: str) -> DataFrame:
+    def unordered(self, name: str) -> DataFrame:
+        """The rows of a table or view, for use inside another query."""
         if name not in self._built:
             self._built[name] = self._builders[name](self)
         return self._built[name]
 
+    def __getitem__(self, name: str) -> DataFrame:
+        order = gold.ORDERS.get(name)
+        rows = self.unordered(name)
+        return rows.orderBy(*[down(c[1:]) if c.startswith("-") else up(c) for c in order]) if order else rows
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
 
