@@ -1,13 +1,17 @@
 from __future__ import annotations
 
 import json
+import re
 from collections import Counter
+from datetime import date
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from userlake.operators import facts
 from userlake.operators.users import users_transformed
-from userlake.plans.jobs import Lake, run_all
+from userlake.plans.jobs import PER_BATCH, Lake, run_all
 from userlake.sources import catalog, records, sinks
 from userlake.streaming import ingest
 from userlake.tables import READERS, SILVER, tables_from_raw
@@ -149,6 +153,11 @@ def test_topic_reader_states_its_bounds():
     }
 
 
+def test_topic_without_its_connector_is_refused(spark):
+    with pytest.raises(AnalysisException):
+        records.read_topic(spark, "host:9092", "users_created")
+
+
 def test_batch_report(spark, ctx, raw, users_like, tmp_path):
     assert ingest.process_user_batch(users_like(), f"{tmp_path}/empty", ctx) is None
     report = ingest.process_user_batch(raw, f"{tmp_path}/batch", ctx)
@@ -176,6 +185,37 @@ def test_stored_tables_give_the_same_answers(spark, ctx, raw, tmp_path):
         spark.sql("DROP DATABASE stored_lake CASCADE")
 
 
+def test_daily_runs_equal_one_run_over_the_history(spark, ctx, raw, tmp_path):
+    days = [date(2024, 10, 1), date(2024, 10, 2), date(2024, 10, 3)]
+    whole, daily = Lake(spark, "whole_lake", f"{tmp_path}/w"), Lake(spark, "daily_lake", f"{tmp_path}/d")
+    try:
+        at_once = run_all(whole, raw.filter(F.col("processing_date").isin(days)), ctx)
+        for day in days:
+            by_day = run_all(daily, raw.filter(F.col("processing_date") == day), ctx, [day])
+        for name in ["users_transformed", *PER_BATCH, "fact_data_quality_trends", "fact_registration_anomalies"]:
+            columns = [c for c in at_once[name].columns if c != "z_score"]
+            assert bag(by_day[name].select(columns)) == bag(at_once[name].select(columns)), name
+    finally:
+        spark.sql("DROP DATABASE whole_lake CASCADE")
+        spark.sql("DROP DATABASE daily_lake CASCADE")
+
+
+def test_a_batch_run_reads_only_its_partition(spark, ctx, raw, tmp_path):
+    path = f"{tmp_path}/users"
+    users_transformed(raw, ctx).write.partitionBy("processing_date").parquet(path)
+    users = spark.read.parquet(path).filter(F.col("processing_date").isin([date(2024, 10, 2)]))
+    plan = facts.email_domain_analysis(users, ctx)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(processing_date") == plan.count("FileScan parquet") == 2
+
+
+def test_cleaning_stays_within_one_compiled_method(spark, ctx, raw, tmp_path):
+    """The JVM does not compile methods above 8000 bytes, so no generated one may pass that."""
+    path = sinks.write_folder(raw, f"{tmp_path}/raw")
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    code = users_transformed(spark.read.parquet(path), ctx)._jdf.queryExecution().explainString(mode)
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
+
+
 def test_views_read_only_the_columns_they_need(spark, ctx, raw, tmp_path):
     path = sinks.write_folder(users_transformed(raw, ctx), f"{tmp_path}/users")
     tables = tables_from_raw(raw, ctx)

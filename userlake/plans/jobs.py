@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from userlake.context import RunContext
 from userlake.operators.users import users_transformed
 from userlake.sources.sinks import save_table
-from userlake.tables import INGEST_SUMMARIES, PARTITIONS, RAW, SILVER, Tables, tables_from_store
+from userlake.tables import INGEST_SUMMARIES, PARTITIONS, RAW, SILVER, USERS, Tables, tables_from_store
 
 AGGREGATES = [
     "dim_user_demographics", "fact_geographic_analysis", "fact_age_generation_analysis",
     "fact_email_provider_analysis", "fact_email_domain_analysis", "fact_data_quality_metrics",
     "fact_quality_by_segment",
 ]
+# Tables whose rows depend on their own batch only.
+PER_BATCH = {
+    "fact_geographic_analysis", "fact_age_generation_analysis", "fact_email_provider_analysis",
+    "fact_email_domain_analysis", "fact_quality_by_segment", "fact_registration_trends",
+    "fact_geographic_expansion", "fact_age_demographic_trends",
+}
 TIME_SERIES = [
     "fact_registration_trends", "fact_geographic_expansion", "fact_age_demographic_trends",
     "fact_data_quality_trends", "fact_registration_anomalies", "fact_quality_anomalies",
@@ -53,25 +61,39 @@ def clean_job(lake: Lake, ctx: RunContext) -> None:
     _fill(lake, stored, ["data_quality_summary"])
 
 
-def aggregate_job(lake: Lake, ctx: RunContext) -> None:
-    _fill(lake, lake.tables(ctx), AGGREGATES)
+def aggregate_job(lake: Lake, ctx: RunContext, batches: Sequence[date] | None = None) -> None:
+    """Dimension and facts; with `batches`, facts of single batches are made for those only."""
+    _fill(lake, lake.tables(ctx), AGGREGATES, batches)
 
 
-def time_series_job(lake: Lake, ctx: RunContext) -> None:
-    _fill(lake, lake.tables(ctx), TIME_SERIES)
+def time_series_job(lake: Lake, ctx: RunContext, batches: Sequence[date] | None = None) -> None:
+    """Trends, then anomalies over the whole stored history."""
+    _fill(lake, lake.tables(ctx), TIME_SERIES, batches)
 
 
-def run_all(lake: Lake, raw: DataFrame, ctx: RunContext) -> Tables:
-    """Raw users to stored facts; the views, checks and reports read the result."""
+def run_all(
+    lake: Lake, raw: DataFrame, ctx: RunContext, batches: Sequence[date] | None = None
+) -> Tables:
+    """Raw users to stored facts; the views, checks and reports read the result.
+
+    `raw` is what has arrived and `batches` names its dates, so that a daily run
+    reads the partitions of that day instead of the whole history.
+    """
     ingest_job(lake, raw, ctx)
     clean_job(lake, ctx)
-    aggregate_job(lake, ctx)
-    time_series_job(lake, ctx)
+    aggregate_job(lake, ctx, batches)
+    time_series_job(lake, ctx, batches)
     return lake.tables(ctx)
 
 
-def _fill(lake: Lake, stored: Tables, names: Iterable[str]) -> None:
+def _fill(
+    lake: Lake, stored: Tables, names: Iterable[str], batches: Sequence[date] | None = None
+) -> None:
     """Write tables from the stored ones they read, so no table is derived twice."""
+    recent = stored
+    if batches is not None:
+        users = stored[USERS].filter(F.col("processing_date").isin(list(batches)))
+        recent = Tables({USERS: lambda _: users}, stored.ctx)
     for name in names:
         mode = "merge" if name.startswith("dim_") else "overwrite"
-        lake.save(name, SILVER[name](stored), mode)
+        lake.save(name, SILVER[name](recent if name in PER_BATCH else stored), mode)

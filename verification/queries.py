@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, TimestampType
 
 from userlake import RunContext, Tables, tables_from_raw
 from userlake.operators import facts, summaries, trends
-from userlake.operators.users import enrich, users_transformed, validate_and_cleanse
+from userlake.operators.users import enrich, validate_and_cleanse
 from userlake.sources import catalog, records, sinks
 from userlake.sources.fixture import users_of_customers
 from userlake.sources.scratch import scratch_folder
@@ -46,15 +46,13 @@ RAW_DATED = [*records.RAW_COLUMNS, "processing_date"]
 
 
 @lru_cache(maxsize=4)
-def users_of(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """The plans of the raw and the cleaned users, put together once per session."""
-    raw = users_of_customers(spark, folder)
-    return raw, users_transformed(raw, CONTEXT)
+def lake(spark: SparkSession, folder: str) -> Tables:
+    """The plans over a folder, put together once per session; no rows are kept."""
+    return tables_from_raw(users_of_customers(spark, folder), CONTEXT)
 
 
-def lake(spark: SparkSession, folder: str) -> Tables:
-    raw, users = users_of(spark, folder)
-    return tables_from_raw(raw, CONTEXT, users)
+def raw_users(spark: SparkSession, folder: str) -> DataFrame:
+    return lake(spark, folder)["raw_users"]
 
 
 def _named(name: str) -> Query:
@@ -68,12 +66,12 @@ QUERIES: dict[str, Query] = {name: _named(name) for name in [*SILVER, *INGEST_SU
 
 
 def _cleansed(*columns: str) -> Query:
-    return lambda spark, folder: validate_and_cleanse(users_of_customers(spark, folder)).selectExpr(*columns)
+    return lambda spark, folder: validate_and_cleanse(raw_users(spark, folder)).selectExpr(*columns)
 
 
 def _enriched(*columns: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return enrich(validate_and_cleanse(users_of_customers(spark, folder)), CONTEXT).select(*columns)
+        return enrich(validate_and_cleanse(raw_users(spark, folder)), CONTEXT).select(*columns)
 
     return run
 
@@ -110,7 +108,7 @@ QUERIES |= {
 
 
 def _of_raw(step: Callable[..., DataFrame], *args: object) -> Query:
-    return lambda spark, folder: step(users_of_customers(spark, folder), *args)
+    return lambda spark, folder: step(raw_users(spark, folder), *args)
 
 
 def _of_users(step: Callable[..., DataFrame], *args: object) -> Query:
@@ -169,11 +167,11 @@ def _json_lines(raw: DataFrame) -> DataFrame:
 
 
 def parse_user_json(spark: SparkSession, folder: str) -> DataFrame:
-    return records.parse_user_json(_json_lines(users_of_customers(spark, folder)))
+    return records.parse_user_json(_json_lines(raw_users(spark, folder)))
 
 
 def flatten_user_record(spark: SparkSession, folder: str) -> DataFrame:
-    raw = users_of_customers(spark, folder)
+    raw = raw_users(spark, folder)
     part = [F.trim(F.get(F.split("address", ","), F.lit(i))) for i in range(4)]
     nested = raw.select(
         F.col("id").alias("user_id"),
@@ -198,23 +196,23 @@ def flatten_user_record(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def src_parquet_users(spark: SparkSession, folder: str) -> DataFrame:
-    path = sinks.write_folder(users_of_customers(spark, folder), scratch_folder(spark, "raw"))
+    path = sinks.write_folder(raw_users(spark, folder), scratch_folder(spark, "raw"))
     return records.read_raw_users(spark, path)
 
 
 def src_table_or_path(spark: SparkSession, folder: str) -> DataFrame:
-    path = sinks.write_folder(users_of_customers(spark, folder), scratch_folder(spark, "raw"))
+    path = sinks.write_folder(raw_users(spark, folder), scratch_folder(spark, "raw"))
     return records.read_table_or_path(spark, "no_such_table_of_users", path).select(*RAW_DATED)
 
 
 def file_format_parquet(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_folder(spark, "plain")
-    sinks.write_folder(users_of_customers(spark, folder), path, "parquet_plain")
+    sinks.write_folder(raw_users(spark, folder), path, "parquet_plain")
     return spark.read.parquet(path).select(*RAW_DATED)
 
 
 def sink_parquet_overwrite(spark: SparkSession, folder: str) -> DataFrame:
-    raw, path = users_of_customers(spark, folder), scratch_folder(spark, "overwrite")
+    raw, path = raw_users(spark, folder), scratch_folder(spark, "overwrite")
     sinks.write_folder(raw.select("id"), path)
     sinks.write_folder(raw, path)
     return spark.read.parquet(path).select(*RAW_DATED)
@@ -234,7 +232,7 @@ def _table_name(path: str) -> str:
 
 def sink_table(spark: SparkSession, folder: str) -> DataFrame:
     """Create, overwrite again (a rerun replaces its batches), then read the files."""
-    raw, path = users_of_customers(spark, folder), scratch_folder(spark, "table")
+    raw, path = raw_users(spark, folder), scratch_folder(spark, "table")
     table = _table_name(path)
     sinks.save_table(raw, table, "overwrite", ["processing_date"], path)
     sinks.save_table(raw, table, "overwrite", ["processing_date"], path)
@@ -244,7 +242,7 @@ def sink_table(spark: SparkSession, folder: str) -> DataFrame:
 
 def sink_table_fallback(spark: SparkSession, folder: str) -> DataFrame:
     """A table format this session lacks, so the rows go in by the second way."""
-    raw, path = users_of_customers(spark, folder), scratch_folder(spark, "fallback")
+    raw, path = raw_users(spark, folder), scratch_folder(spark, "fallback")
     table = _table_name(path)
     way = sinks.save_table_or_folder(raw, table, path, "overwrite", provider="iceberg")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -253,7 +251,7 @@ def sink_table_fallback(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sink_json_csv(spark: SparkSession, folder: str) -> DataFrame:
-    raw = users_of_customers(spark, folder).select(*records.RAW_COLUMNS)
+    raw = raw_users(spark, folder).select(*records.RAW_COLUMNS)
     path = scratch_folder(spark, "dump")
     sinks.write_json_and_csv(raw, f"{path}/json", f"{path}/csv")
     reader = spark.read.schema(records.RAW_SCHEMA)
@@ -305,7 +303,7 @@ def conform_to_schema(spark: SparkSession, folder: str) -> DataFrame:
 
 def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Two drops of files, one run after each: every record arrives once."""
-    raw, root = users_of_customers(spark, folder), scratch_folder(spark, "ingest")
+    raw, root = raw_users(spark, folder), scratch_folder(spark, "ingest")
     inbox, target, checkpoint = f"{root}/inbox", f"{root}/raw", f"{root}/checkpoint"
     early = F.col("processing_date") < "2024-10-07"
     for drop in (early, ~early):
@@ -315,7 +313,7 @@ def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def process_user_batch(spark: SparkSession, folder: str) -> DataFrame:
-    raw = users_of_customers(spark, folder)
+    raw = raw_users(spark, folder)
     done = ingest.process_user_batch(raw, scratch_folder(spark, "batch"), CONTEXT)
     return spark.read.parquet(done.analytics_path)
 
@@ -346,7 +344,10 @@ QUERIES |= {
 
 
 def comparable(name: str, df: DataFrame) -> DataFrame:
-    """Types that two engines print alike: times and lists as text, unstable digits rounded."""
+    """Types that two engines print alike: times and lists as text, unstable digits rounded.
+
+    Always a new DataFrame: running it leaves nothing behind in the shared plans.
+    """
     changed = {}
     for field in df.schema:
         if isinstance(field.dataType, TimestampType):
@@ -355,7 +356,7 @@ def comparable(name: str, df: DataFrame) -> DataFrame:
             changed[field.name] = F.array_join(field.name, "|")
         elif field.name in ORDER_DEPENDENT.get(name, []):
             changed[field.name] = F.round(field.name, 6)
-    return df.withColumns(changed) if changed else df
+    return df.withColumns(changed) if changed else df.select("*")
 
 
 def registered() -> dict[str, Query]:
