@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column
@@ -36,28 +36,40 @@ def steady_avg(column: Column) -> Column:
     return F.avg(column.cast("decimal(38,18)")).cast("double")
 
 
-def label_below(value: Column, steps: Sequence[tuple[Any, str]], otherwise: str) -> Column:
-    """Label of the first bound above the value; a null value gets `otherwise`."""
-    ladder: Any = F
-    for bound, label in steps:
-        ladder = ladder.when(value < bound, label)
-    return ladder.otherwise(otherwise)
+Steps = Sequence[tuple[Any, str]]
 
 
-def label_from(value: Column, steps: Sequence[tuple[Any, str]], otherwise: str) -> Column:
-    """Label of the first bound the value reaches; a null value gets `otherwise`."""
+def _ladder(reached: Callable[[Any], Column], steps: Steps, otherwise: str | Column) -> Column:
+    """Label of the first step whose bound is reached; a null value reaches none."""
     ladder: Any = F
     for bound, label in steps:
-        ladder = ladder.when(value >= bound, label)
+        ladder = ladder.when(reached(bound), label)
     return ladder.otherwise(otherwise)
 
 
-def label_above(value: Column, steps: Sequence[tuple[Any, str]], otherwise: str) -> Column:
-    """Label of the first bound the value exceeds; a null value gets `otherwise`."""
-    ladder: Any = F
-    for bound, label in steps:
-        ladder = ladder.when(value > bound, label)
-    return ladder.otherwise(otherwise)
+def label_below(value: Column, steps: Steps, otherwise: str | Column) -> Column:
+    """Label of the first bound above the value."""
+    return _ladder(lambda bound: value < bound, steps, otherwise)
+
+
+def label_up_to(value: Column, steps: Steps, otherwise: str | Column) -> Column:
+    """Label of the first bound that the value does not exceed."""
+    return _ladder(lambda bound: value <= bound, steps, otherwise)
+
+
+def label_from(value: Column, steps: Steps, otherwise: str | Column) -> Column:
+    """Label of the first bound that the value reaches."""
+    return _ladder(lambda bound: value >= bound, steps, otherwise)
+
+
+def label_above(value: Column, steps: Steps, otherwise: str | Column) -> Column:
+    """Label of the first bound that the value exceeds."""
+    return _ladder(lambda bound: value > bound, steps, otherwise)
+
+
+def label_of(value: Column, labels: Mapping[Any, str], otherwise: str | Column) -> Column:
+    """Label of the value itself."""
+    return _ladder(lambda key: value == key, list(labels.items()), otherwise)
 
 
 def down(name: str) -> Column:

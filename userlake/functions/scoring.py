@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from userlake.functions.measures import label_above, label_from
-
+from userlake.functions.measures import label_above, label_from, label_up_to
+
+# Attribute values that earn points, points with and without them.
+DEMOGRAPHIC_POINTS = [
+    ("age_group", ["25-34", "35-44"], 10, 5),
+    ("generation", ["Millennial", "Gen X"], 10, 5),
+    ("email_provider_type", ["Business"], 15, 5),
+    ("account_tenure_category", ["Veteran"], 20, 10),
+]
+# Measures that earn points above a bound, points above and up to it.
+ENGAGEMENT_POINTS = [
+    ("avg_account_age_days", 365, 20, 10),
+    ("business_email_percentage", 50, 15, 5),
+    ("avg_data_quality", 80, 10, 5),
+    ("countries_represented", 1, 5, 0),
+]
 # Tier bounds and labels.
 SEGMENTS = [(40, "Premium"), (25, "Standard")]
 LOWEST_SEGMENT = "Basic"
@@ -14,22 +28,22 @@ ENGAGEMENT_TIERS = [(35, "High"), (20, "Medium")]
 LOWEST_ENGAGEMENT = "Low"
 QUALITY_TIERS = [(80, "High Quality"), (50, "Medium Quality")]
 LOWEST_QUALITY_TIER = "Low Quality"
-EXPANSION_TIERS = {"Top Tier": 5, "Mid Tier": 15}
+EXPANSION_TIERS = [(5, "Top Tier"), (15, "Mid Tier")]
 LAST_EXPANSION_TIER = "Emerging"
 SEVERITIES = [(3, "Critical"), (2, "High"), (1.5, "Medium")]
 LOWEST_SEVERITY = "Low"
 
 
-def _points(condition: Column, met: int, unmet: int) -> Column:
-    return F.when(condition, met).otherwise(unmet)
+def _sum(points: list[Column]) -> Column:
+    total = points[0]
+    for more in points[1:]:
+        total = total + more
+    return total
 
 
 def demographic_score() -> Column:
-    return (
-        _points(F.col("age_group").isin("25-34", "35-44"), 10, 5)
-        + _points(F.col("generation").isin("Millennial", "Gen X"), 10, 5)
-        + _points(F.col("email_provider_type") == "Business", 15, 5)
-        + _points(F.col("account_tenure_category") == "Veteran", 20, 10)
+    return _sum(
+        [F.when(F.col(name).isin(values), met).otherwise(unmet) for name, values, met, unmet in DEMOGRAPHIC_POINTS]
     )
 
 
@@ -38,11 +52,8 @@ def target_segment(score: Column) -> Column:
 
 
 def engagement_score() -> Column:
-    return (
-        _points(F.col("avg_account_age_days") > 365, 20, 10)
-        + _points(F.col("business_email_percentage") > 50, 15, 5)
-        + _points(F.col("avg_data_quality") > 80, 10, 5)
-        + _points(F.col("countries_represented") > 1, 5, 0)
+    return _sum(
+        [F.when(F.col(name) > bound, above).otherwise(below) for name, bound, above, below in ENGAGEMENT_POINTS]
     )
 
 
@@ -55,10 +66,7 @@ def quality_tier(score: Column) -> Column:
 
 
 def expansion_category(rank: Column) -> Column:
-    ladder = F
-    for label, last_rank in EXPANSION_TIERS.items():
-        ladder = ladder.when(rank <= last_rank, label)
-    return ladder.otherwise(LAST_EXPANSION_TIER)
+    return label_up_to(rank, EXPANSION_TIERS, LAST_EXPANSION_TIER)
 
 
 def anomaly_severity(z_score: Column) -> Column:

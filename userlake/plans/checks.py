@@ -7,7 +7,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from userlake.functions.measures import down, rows, share, steady_avg, up
+from userlake.functions.measures import down, label_above, label_below, rows, share, steady_avg, up
 from userlake.plans.naming import collector
 from userlake.plans.pairing import few_rows, row_or_null
 
@@ -17,6 +17,18 @@ if TYPE_CHECKING:
 CHECKS: dict = {}
 check = collector(CHECKS)
 
+# Score ranges of the quality tiers, bounds and labels of the alerts.
+TIER_RANGES = {"High Quality": (80, 100), "Medium Quality": (50, 79), "Low Quality": (0, 49)}
+LOW_SCORES = [(30, "CRITICAL"), (50, "WARNING")]
+LEAST_VALID_SHARE = 0.8
+DECLINES = [(5, "CRITICAL_DECLINE"), (2, "MODERATE_DECLINE")]
+IMPROVEMENTS = [(5, "SIGNIFICANT_IMPROVEMENT")]
+NORMAL_CHANGE = "NORMAL_VARIATION"
+NOTABLE_GROWTH = 10
+LOW_GROWTHS = [(-20, "CRITICAL_DECLINE"), (-10, "MODERATE_DECLINE")]
+HIGH_GROWTHS = [(50, "EXCEPTIONAL_GROWTH"), (20, "HIGH_GROWTH")]
+NORMAL_GROWTH = "NORMAL_GROWTH"
+
 # Plain reads of a view, some of its first rows only.
 READS: dict[str, tuple[str, int | None]] = {
     "read_completeness": ("vw_bronze_vs_silver_completeness", None),
@@ -50,11 +62,7 @@ def segment_x_quality(t: Tables) -> DataFrame:
     tier of the average; averages between two ranges belong to none.
     """
     average = F.col("avg_quality_score")
-    tier = (
-        F.when(average.between(80, 100), "High Quality")
-        .when(average.between(50, 79), "Medium Quality")
-        .when(average.between(0, 49), "Low Quality")
-    )
+    tier = F.coalesce(*[F.when(average.between(*ends), label) for label, ends in TIER_RANGES.items()])
     segments = t.unordered("vw_target_segment_distribution").withColumn("quality_tier", tier)
     return (
         segments.join(t.unordered("vw_data_quality_distribution"), "quality_tier", "left")
@@ -262,10 +270,10 @@ def gold_freshness(t: Tables) -> DataFrame:
 @check
 def low_quality_alert(t: Tables) -> DataFrame:
     score = F.col("avg_score")
-    severity = F.when(score < 30, "CRITICAL").when(score < 50, "WARNING").otherwise("OK")
+    severity = label_below(score, LOW_SCORES, "OK")
     return (
         t.unordered("vw_data_quality_batch_distribution")
-        .filter((F.col("batch_quality_tier") == "Needs Improvement") | (score < 50))
+        .filter((F.col("batch_quality_tier") == "Needs Improvement") | (score < LOW_SCORES[-1][0]))
         .select(
             F.lit("LOW_QUALITY_ALERT").alias("alert_type"),
             "batch_quality_tier", "batch_count", "avg_score", severity.alias("severity"),
@@ -277,8 +285,8 @@ def low_quality_alert(t: Tables) -> DataFrame:
 def completeness_alert(t: Tables) -> DataFrame:
     """The silver row carries no presence counts, so its comparison is null and it stays OK."""
     silver = F.col("layer") == "Silver Layer"
-    low_email = F.col("emails_valid") < F.col("emails_present") * 0.8
-    low_phone = F.col("phones_valid") < F.col("phones_present") * 0.8
+    low_email = F.col("emails_valid") < F.col("emails_present") * LEAST_VALID_SHARE
+    low_phone = F.col("phones_valid") < F.col("phones_present") * LEAST_VALID_SHARE
     status = (
         F.when(silver & low_email, "EMAIL_VALIDATION_LOW")
         .when(silver & low_phone, "PHONE_VALIDATION_LOW")
@@ -317,11 +325,8 @@ def quality_anomaly_alert(t: Tables) -> DataFrame:
 @check
 def quality_trend_alert(t: Tables) -> DataFrame:
     direction, size = F.col("change_direction"), F.col("change_magnitude")
-    level = (
-        F.when((direction == "Negative") & (size > 5), "CRITICAL_DECLINE")
-        .when((direction == "Negative") & (size > 2), "MODERATE_DECLINE")
-        .when((direction == "Positive") & (size > 5), "SIGNIFICANT_IMPROVEMENT")
-        .otherwise("NORMAL_VARIATION")
+    level = F.when(direction == "Negative", label_above(size, DECLINES, NORMAL_CHANGE)).otherwise(
+        label_above(size, IMPROVEMENTS, NORMAL_CHANGE)
     )
     return (
         t.unordered("vw_quality_improvement_tracking")
@@ -339,16 +344,10 @@ def quality_trend_alert(t: Tables) -> DataFrame:
 @check
 def growth_rate_alert(t: Tables) -> DataFrame:
     growth = F.col("growth_rate")
-    level = (
-        F.when(growth < -20, "CRITICAL_DECLINE")
-        .when(growth < -10, "MODERATE_DECLINE")
-        .when(growth > 50, "EXCEPTIONAL_GROWTH")
-        .when(growth > 20, "HIGH_GROWTH")
-        .otherwise("NORMAL_GROWTH")
-    )
+    level = label_below(growth, LOW_GROWTHS, label_above(growth, HIGH_GROWTHS, NORMAL_GROWTH))
     return (
         t.unordered("vw_monthly_registration_trends")
-        .filter(growth.isNull() | (F.abs(growth) > 10))
+        .filter(growth.isNull() | (F.abs(growth) > NOTABLE_GROWTH))
         .orderBy(down("processing_date"), F.abs(growth).desc_nulls_first(), down("time_period"))
         .limit(15)
         .select(

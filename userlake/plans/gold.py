@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from userlake.functions.measures import down, rows, share, steady_avg, tally, up
+from userlake.functions.measures import (
+    down, label_above, label_below, label_from, label_of, label_up_to, rows, share, steady_avg, tally, up,
+)
 from userlake.functions.scoring import quality_tier
 from userlake.plans.naming import ordered_collector
 
@@ -20,6 +22,32 @@ ORDERS: dict[str, tuple[str, ...]] = {}
 view = ordered_collector(VIEWS, ORDERS)
 
 
+# Bounds and labels of the views.
+EXCELLENT_BATCH = (50, "Excellent Batch")
+GOOD_BATCH = (70, "Good Batch")
+POOR_BATCH = "Needs Improvement"
+GROWING = [(20, "High Growth"), (0, "Growing")]
+SHRINKING = [(-10, "Declining")]
+STEADY = "Stable"
+QUARTER_TIERS = [(2, "Top Performer"), (4, "Good Performer")]
+LAST_QUARTER_TIER = "Needs Improvement"
+RAPID_CHANGE = 5
+SIGNIFICANT_CHANGE = 2
+REGISTRATION_ACTIONS = {
+    "Critical": "Immediate Attention Required",
+    "High": "Investigation Recommended",
+    "Medium": "Monitor Closely",
+}
+NO_ACTION = "Normal Variation"
+QUALITY_STATES = {
+    "Critical": "Data Quality Crisis",
+    "High": "Quality Issue Detected",
+    "Medium": "Quality Variation",
+}
+NORMAL_STATE = "Normal Quality Range"
+SMALLEST_CITY, SMALLEST_DOMAIN = 5, 2
+
+
 def _rounded(name: str, digits: int) -> Column:
     return F.round(name, digits).alias(name)
 
@@ -112,7 +140,7 @@ def vw_geographic_diversity(t: Tables) -> DataFrame:
 def vw_cities_business_email_concentration(t: Tables) -> DataFrame:
     return (
         t["fact_geographic_analysis"]
-        .filter("analysis_type = 'city' AND user_count >= 5")
+        .filter((F.col("analysis_type") == "city") & (F.col("user_count") >= SMALLEST_CITY))
         .select("geographic_level", "user_count", "business_email_percentage", "avg_data_quality")
     )
 
@@ -178,7 +206,7 @@ def vw_email_provider_market_share(t: Tables) -> DataFrame:
 def vw_top_email_domains(t: Tables) -> DataFrame:
     return (
         t["fact_email_domain_analysis"]
-        .filter("user_count >= 2")
+        .filter(F.col("user_count") >= SMALLEST_DOMAIN)
         .select(
             "email_domain", "email_provider_type", "user_count", "market_share_percentage",
             "avg_user_age", "countries_using", "gender_ratio_male_female",
@@ -229,11 +257,7 @@ def vw_quality_by_segment(t: Tables) -> DataFrame:
 @view()
 def vw_data_quality_batch_distribution(t: Tables) -> DataFrame:
     excellent, good = F.col("excellent_quality_percentage"), F.col("good_quality_percentage")
-    tier = (
-        F.when(excellent >= 50, "Excellent Batch")
-        .when(good + excellent >= 70, "Good Batch")
-        .otherwise("Needs Improvement")
-    )
+    tier = label_from(excellent, [EXCELLENT_BATCH], label_from(good + excellent, [GOOD_BATCH], POOR_BATCH))
     return t["fact_data_quality_metrics"].groupBy(tier.alias("batch_quality_tier")).agg(
         rows().alias("batch_count"),
         steady_avg(F.col("avg_quality_score")).alias("avg_score"),
@@ -306,12 +330,7 @@ def _periods(t: Tables, kind: str) -> DataFrame:
 @view("-time_period", "-processing_date")
 def vw_monthly_registration_trends(t: Tables) -> DataFrame:
     growth = F.col("growth_rate")
-    category = (
-        F.when(growth > 20, "High Growth")
-        .when(growth > 0, "Growing")
-        .when(growth < -10, "Declining")
-        .otherwise("Stable")
-    )
+    category = label_above(growth, GROWING, label_below(growth, SHRINKING, STEADY))
     return (
         _periods(t, "monthly")
         .select(
@@ -326,7 +345,6 @@ def vw_monthly_registration_trends(t: Tables) -> DataFrame:
 def vw_quarterly_registration_performance(t: Tables) -> DataFrame:
     # The window holds one row per quarter and batch.
     rank = F.rank().over(W.orderBy(down("registrations")))
-    place = F.col("performance_rank")
     return (
         _periods(t, "quarterly")
         .select(
@@ -334,8 +352,7 @@ def vw_quarterly_registration_performance(t: Tables) -> DataFrame:
             "growth_rate", rank.alias("performance_rank"), "processing_date",
         )
         .withColumn(
-            "performance_tier",
-            F.when(place <= 2, "Top Performer").when(place <= 4, "Good Performer").otherwise("Needs Improvement"),
+            "performance_tier", label_up_to(F.col("performance_rank"), QUARTER_TIERS, LAST_QUARTER_TIER)
         )
     )
 
@@ -412,7 +429,7 @@ def vw_country_expansion_timeline(t: Tables) -> DataFrame:
 @view("-registration_year", "-trend_magnitude", "age_group", "generation", "processing_date")
 def vw_age_group_trends(t: Tables) -> DataFrame:
     direction = F.col("trend_direction")
-    rapid = direction.isin("Growing", "Declining") & (F.col("trend_magnitude") > 5)
+    rapid = direction.isin("Growing", "Declining") & (F.col("trend_magnitude") > RAPID_CHANGE)
     intensity = F.when(rapid, F.concat(F.lit("Rapidly "), direction)).otherwise(direction)
     return (
         t["fact_age_demographic_trends"]
@@ -460,11 +477,10 @@ def vw_fastest_growing_demographics(t: Tables) -> DataFrame:
 @view("-processing_date")
 def vw_data_quality_trend_overview(t: Tables) -> DataFrame:
     trend, change = F.col("quality_trend"), F.col("quality_change")
-    intensity = (
-        F.when((trend == "Improving") & (change > 2), "Significantly Improving")
-        .when((trend == "Declining") & (change < -2), "Significantly Declining")
-        .otherwise(trend)
+    significant = ((trend == "Improving") & (change > SIGNIFICANT_CHANGE)) | (
+        (trend == "Declining") & (change < -SIGNIFICANT_CHANGE)
     )
+    intensity = F.when(significant, F.concat(F.lit("Significantly "), trend)).otherwise(trend)
     # The window holds one row per batch.
     previous = F.lag("avg_quality_score").over(W.orderBy("processing_date"))
     return (
@@ -501,21 +517,9 @@ def vw_quality_improvement_tracking(t: Tables) -> DataFrame:
 # --- anomalies -------------------------------------------------------------
 
 
-def _advice(critical: str, high: str, medium: str, otherwise: str) -> Column:
-    severity = F.col("anomaly_severity")
-    return (
-        F.when(severity == "Critical", critical)
-        .when(severity == "High", high)
-        .when(severity == "Medium", medium)
-        .otherwise(otherwise)
-    )
-
-
 @view("-z_score", "-processing_date")
 def vw_registration_anomalies_summary(t: Tables) -> DataFrame:
-    action = _advice(
-        "Immediate Attention Required", "Investigation Recommended", "Monitor Closely", "Normal Variation"
-    )
+    action = label_of(F.col("anomaly_severity"), REGISTRATION_ACTIONS, NO_ACTION)
     return (
         t["fact_registration_anomalies"]
         .filter("is_anomaly")
@@ -528,7 +532,7 @@ def vw_registration_anomalies_summary(t: Tables) -> DataFrame:
 
 @view("-z_score", "-processing_date")
 def vw_quality_anomalies_summary(t: Tables) -> DataFrame:
-    status = _advice("Data Quality Crisis", "Quality Issue Detected", "Quality Variation", "Normal Quality Range")
+    status = label_of(F.col("anomaly_severity"), QUALITY_STATES, NORMAL_STATE)
     return (
         t["fact_quality_anomalies"]
         .filter("is_anomaly")
