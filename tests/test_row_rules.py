@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import re
 from datetime import date
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from userlake.operators.users import enrich, users_transformed, validate_and_cleanse
 
@@ -125,3 +128,30 @@ def test_processing_date_defaults_to_the_run(users_like, ctx):
 
 def test_no_row_is_dropped(users_like, ctx):
     assert users_transformed(users_like({}, {}, GOOD), ctx).count() == 3
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(
+            st.none() | st.from_regex(r"[a-zA-Z0-9@. _%+-]{0,20}", fullmatch=True),
+            st.none() | st.text("0123456789()+ -", max_size=16),
+            st.none() | st.sampled_from(["", "1", "x"]),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_rules_on_any_text(users_like, ctx, records):
+    raw = users_like(*[{"email": e, "phone": p, "id": i, "username": str(n)} for n, (e, p, i) in enumerate(records)])
+    rows = {int(r.username): r for r in users_transformed(raw, ctx).collect()}
+    for n, (email, phone, user_id) in enumerate(records):
+        good_email = bool(email) and bool(re.fullmatch(r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}", email))
+        good_phone = phone is not None and len(phone) >= 10
+        score = 100 - (0 if user_id else 20) - (0 if good_email else 15) - (0 if good_phone else 10)
+        digits = re.sub(r"\D", "", phone or "")
+        shown = f"({digits[:3]}) {digits[3:6]}-{digits[6:]}" if len(digits) == 10 else phone
+        row = rows[n]
+        assert (row.email_valid, row.phone_valid, row.data_quality_score) == (good_email, good_phone, score)
+        assert row.phone == shown
+        assert len(row.quality_issues) == (not user_id) + (not good_email) + (not good_phone)

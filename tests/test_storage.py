@@ -147,6 +147,21 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     assert run() == ["1", "2", "3"]
 
 
+def test_each_ingest_batch_can_be_summarised(spark, ctx, raw, tmp_path):
+    inbox, reports = f"{tmp_path}/in", {}
+    lines = raw.select(F.to_json(F.struct(*records.RAW_COLUMNS)).alias("value"))
+    lines.repartition(2).write.text(inbox)
+
+    def summarise(users, batch):
+        reports[batch] = ingest.process_user_batch(users, f"{tmp_path}/summary/{batch}", ctx)
+
+    ingest.ingest_available(
+        ingest.stream_files(spark, inbox, files_per_batch=1), f"{tmp_path}/out", f"{tmp_path}/cp", summarise
+    ).awaitTermination()
+    assert sorted(reports) == [0, 1]
+    assert sum(r.processed_users for r in reports.values()) == 150
+
+
 def test_topic_reader_states_its_bounds():
     assert records.topic_options("host:9092", "users_created") == {
         "kafka.bootstrap.servers": "host:9092", "subscribe": "users_created", "failOnDataLoss": "false",

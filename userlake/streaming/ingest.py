@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,11 +31,18 @@ def stream_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     return reader.option("startingOffsets", "earliest").load()
 
 
-def ingest_available(messages: DataFrame, raw_path: str, checkpoint: str) -> StreamingQuery:
+def ingest_available(
+    messages: DataFrame,
+    raw_path: str,
+    checkpoint: str,
+    after_batch: Callable[[DataFrame, int], object] | None = None,
+) -> StreamingQuery:
     """Append what has arrived since the last run to the raw folder, then stop.
 
     Each micro-batch owns one partition folder and overwrites it, so a batch
     that is repeated after a failure replaces its own half-written rows.
+    `after_batch` gets the stored users of a batch and its number; it too may be
+    called again for the same number and should then replace what it wrote.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -46,6 +54,9 @@ def ingest_available(messages: DataFrame, raw_path: str, checkpoint: str) -> Str
             .partitionBy(BATCH)
             .parquet(raw_path)
         )
+        if after_batch is not None:
+            stored = batch.sparkSession.read.parquet(raw_path).filter(F.col(BATCH) == batch_id)
+            after_batch(stored.drop(BATCH), batch_id)
 
     return (
         parse_user_json(messages)
