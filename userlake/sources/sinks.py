@@ -38,6 +38,7 @@ def write_json_and_csv(df: DataFrame, json_path: str, csv_path: str) -> None:
 
 @contextmanager
 def _replacing_only_written_partitions(spark: SparkSession) -> Iterator[None]:
+    """Inserts take this mode from the session alone, so a session writes one table at a time."""
     before = spark.conf.get(_PARTITION_MODE)
     spark.conf.set(_PARTITION_MODE, "dynamic")
     try:

@@ -14,6 +14,7 @@ from userlake.sources.records import RAW_COLUMNS
 from verification.queries import ORDER_DEPENDENT
 
 TODAY = "DATE '2025-01-01'"
+TODAY_TEXT = "'2025-01-01'"
 NOW = "'2025-01-01 00:00:00'"
 NOW_ISO = "'2025-01-01T00:00:00'"
 RAW12 = ", ".join(RAW_COLUMNS)
@@ -41,6 +42,14 @@ def cnt(condition: str) -> str:
     return f"CAST(count(*) FILTER (WHERE {condition}) AS BIGINT)"
 
 
+def text(value: str) -> str:
+    return f"CAST({value} AS VARCHAR)"
+
+
+def day(value: str) -> str:
+    return f"CAST({value} AS DATE)"
+
+
 def initcap(value: str) -> str:
     return f"upper(left(trim({value}), 1)) || lower(substr(trim({value}), 2))"
 
@@ -67,8 +76,9 @@ SEVERITY_LADDER = (
 LAYERS: dict[str, str] = {}
 
 LAYERS["raw"] = (
-    "SELECT " + ", ".join(f"{text} AS {name}" for name, text in USER_EXPRESSIONS.items())
-    + " FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
+    "SELECT * REPLACE (CAST(processing_date AS VARCHAR) AS processing_date) FROM (SELECT "
+    + ", ".join(f"{expression} AS {name}" for name, expression in USER_EXPRESSIONS.items())
+    + " FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
 )
 LAYERS["judged"] = f"""
 SELECT *, id IS NULL OR id = '' AS bad_id,
@@ -106,11 +116,11 @@ SELECT *, {AGE_LADDER.format('age_years')} AS age_group,
        ELSE 'Veteran' END AS account_tenure_category,
   {NOW} AS processed_at, 'randomuser_api' AS data_source, 'userlake' AS glue_job_name
 FROM scored"""
-LAYERS["u"] = """
+LAYERS["u"] = f"""
 SELECT id, first_name_clean AS first_name, last_name_clean AS last_name, full_name, gender, email, email_domain,
   email_provider_type, email_valid, username, phone_formatted AS phone, phone_valid, address, street_address,
-  city, country, post_code, birth_date, age_years, age_group, generation, registration_date, account_age_days,
-  account_tenure_category, data_quality_score, quality_issues, picture, processed_at, processing_date,
+  city, country, post_code, {text('birth_date')} AS birth_date, age_years, age_group, generation,
+  {text('registration_date')} AS registration_date, account_age_days, account_tenure_category, data_quality_score, quality_issues, picture, processed_at, processing_date,
   data_source, glue_job_name
 FROM rich"""
 
@@ -219,7 +229,7 @@ SELECT email_provider_type, processing_date, count(*) AS total_users, count(DIST
   count(DISTINCT country) AS countries_represented, 'provider_type' AS analysis_level, {NOW} AS created_at
 FROM u GROUP BY email_provider_type, processing_date"""
 LAYERS["dq"] = f"""
-SELECT *, {TODAY} AS processing_date, {pct('excellent_quality', 'total_records')} AS excellent_quality_percentage,
+SELECT *, {TODAY_TEXT} AS processing_date, {pct('excellent_quality', 'total_records')} AS excellent_quality_percentage,
   {pct('good_quality', 'total_records')} AS good_quality_percentage,
   {pct('valid_emails', 'total_records')} AS email_validity_percentage,
   {pct('valid_phones', 'total_records')} AS phone_validity_percentage,
@@ -244,10 +254,11 @@ FROM (SELECT age_group, generation, processing_date, count(*) AS segment_total,
 # --- trends
 
 LAYERS["calendar"] = f"""
-SELECT *, {num('year(registration_date)')} AS registration_year, {num('month(registration_date)')} AS registration_month,
-  {num('quarter(registration_date)')} AS registration_quarter,
-  {num('dayofweek(registration_date) + 1')} AS registration_day_of_week,
-  dayname(registration_date) AS registration_day_name
+SELECT *, {num(f"year({day('registration_date')})")} AS registration_year,
+  {num(f"month({day('registration_date')})")} AS registration_month,
+  {num(f"quarter({day('registration_date')})")} AS registration_quarter,
+  {num(f"dayofweek({day('registration_date')}) + 1")} AS registration_day_of_week,
+  dayname({day('registration_date')}) AS registration_day_name
 FROM u"""
 
 
@@ -291,12 +302,12 @@ FROM (SELECT *, {pct('user_count', 'total_users_global')} AS market_share_percen
     FROM (SELECT country, processing_date, count(*) AS user_count, min(registration_date) AS first_user_date,
         max(registration_date) AS latest_user_date, count(DISTINCT city) AS cities_represented,
         avg(age_years) AS avg_user_age, avg(data_quality_score) AS avg_data_quality,
-        {num(f"date_diff('day', min(registration_date), {TODAY})")} AS days_since_first_user
+        {num(f"date_diff('day', {day('min(registration_date)')}, {TODAY})")} AS days_since_first_user
       FROM u GROUP BY country, processing_date)))"""
 LAYERS["agedays"] = f"""
 SELECT age_group, generation, registration_date, processing_date, count(*) AS user_count,
   avg(data_quality_score) AS avg_data_quality, count(DISTINCT country) AS countries_represented,
-  {num('year(registration_date)')} AS registration_year
+  {num(f"year({day('registration_date')})")} AS registration_year
 FROM u GROUP BY age_group, generation, registration_date, processing_date"""
 LAYERS["ages"] = f"""
 SELECT *, CASE WHEN previous_year_percentage IS NULL THEN 'New'
@@ -432,8 +443,9 @@ SELECT expansion_category, processing_date, count(*) AS country_count, {big('sum
 FROM expansion GROUP BY expansion_category, processing_date"""
 LAYERS["v_timeline"] = f"""
 SELECT country, first_user_date, user_count, user_acquisition_rate, expansion_category,
-  {num('year(first_user_date)')} AS expansion_year, {num('month(first_user_date)')} AS expansion_month,
-  {num('row_number() OVER (PARTITION BY year(first_user_date) ORDER BY first_user_date, country, processing_date)')}
+  {num(f"year({day('first_user_date')})")} AS expansion_year,
+  {num(f"month({day('first_user_date')})")} AS expansion_month,
+  {num('row_number() OVER (PARTITION BY left(first_user_date, 4) ORDER BY first_user_date, country, processing_date)')}
     AS country_rank_in_year, processing_date
 FROM expansion"""
 LAYERS["v_ages"] = f"""
@@ -567,7 +579,7 @@ SQL |= {
     "rule_invalid_email": "SELECT picture, email, email_valid, NOT email_valid AS invalid_email FROM judged",
     "rule_invalid_phone": "SELECT picture, phone, phone_valid, NOT phone_valid AS invalid_phone FROM judged",
     "clean_names": "SELECT picture, first_name_clean, last_name_clean, full_name FROM scored",
-    "birth_date_and_age": "SELECT picture, dob, birth_date, age_years FROM scored",
+    "birth_date_and_age": f"SELECT picture, dob, {text('birth_date')} AS birth_date, age_years FROM scored",
     "age_group": "SELECT picture, age_years, age_group FROM rich",
     "generation": "SELECT picture, age_years, generation FROM rich",
     "email_domain": "SELECT picture, email, email_domain FROM rich",
@@ -576,7 +588,8 @@ SQL |= {
     " state_country FROM rich",
     "country": "SELECT picture, address, country FROM rich",
     "phone_fields": "SELECT picture, phone, phone_clean, phone_formatted FROM rich",
-    "registration_and_account_age": "SELECT picture, registration_date, account_age_days FROM rich",
+    "registration_and_account_age": f"SELECT picture, {text('registration_date')} AS registration_date,"
+    " account_age_days FROM rich",
     "account_tenure_category": "SELECT picture, account_age_days, account_tenure_category FROM rich",
     "processing_metadata": "SELECT picture, processed_at, processing_date, data_source, glue_job_name FROM rich",
     "users_transformed": _all("u"),
@@ -587,7 +600,7 @@ SELECT count(*) AS total_records, {cnt('data_quality_score >= 80')} AS high_qual
   {cnt('data_quality_score < 50')} AS low_quality_records, avg(data_quality_score) AS avg_quality_score,
   {cnt('email_valid')} AS valid_emails, {cnt('phone_valid')} AS valid_phones,
   count(DISTINCT email_domain) AS unique_email_domains, count(DISTINCT country) AS unique_countries,
-  {NOW} AS quality_check_timestamp, {TODAY} AS processing_date, 'userlake' AS glue_job_name
+  {NOW} AS quality_check_timestamp, {TODAY_TEXT} AS processing_date, 'userlake' AS glue_job_name
 FROM u""",
     "age_generation_pct": "SELECT age_group, generation, user_count AS count, percentage FROM v_agegen",
     "quality_tier_distribution": _all("v_tiers"),
@@ -847,7 +860,7 @@ UNION ALL SELECT 'Future birth dates', count(*) FROM raw WHERE {iso_date('dob')}
 SELECT 'Analytics' AS data_type, max(created_at) AS latest_processing_time,
   count(DISTINCT created_at) AS processing_batches FROM metrics
 UNION ALL SELECT 'Demographics', max(created_at), count(DISTINCT created_at) FROM places""",
-    "processing_volume": "SELECT CAST(CAST(created_at AS TIMESTAMP) AS DATE) AS processing_date,"
+    "processing_volume": "SELECT CAST(CAST(CAST(created_at AS TIMESTAMP) AS DATE) AS VARCHAR) AS processing_date,"
     " count(*) AS records_processed FROM metrics GROUP BY 1",
     # reports
     "report_segment_counts": "SELECT target_segment, count(*) AS count FROM dim GROUP BY 1",

@@ -8,7 +8,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, TimestampType
+from pyspark.sql.types import ArrayType, DateType, TimestampType
 
 from userlake import RunContext, Tables, tables_from_raw
 from userlake.operators import facts, summaries, trends
@@ -344,7 +344,7 @@ QUERIES |= {
 
 
 def comparable(name: str, df: DataFrame) -> DataFrame:
-    """Types that two engines print alike: times and lists as text, unstable digits rounded.
+    """Types that two engines print alike: dates, times, lists as text; unstable digits rounded.
 
     Always a new DataFrame: running it leaves nothing behind in the shared plans.
     """
@@ -352,6 +352,8 @@ def comparable(name: str, df: DataFrame) -> DataFrame:
     for field in df.schema:
         if isinstance(field.dataType, TimestampType):
             changed[field.name] = F.date_format(field.name, "yyyy-MM-dd HH:mm:ss")
+        elif isinstance(field.dataType, DateType):
+            changed[field.name] = F.col(field.name).cast("string")
         elif isinstance(field.dataType, ArrayType):
             changed[field.name] = F.array_join(field.name, "|")
         elif field.name in ORDER_DEPENDENT.get(name, []):
