@@ -8,8 +8,9 @@ import __spark_entry__ as entry_points
 from tests.conftest import DATA
 from verification.compare import connect, difference
 from verification.oracle import SQL
+from verification.queries import registered
 
-QUERIES = entry_points.queries()
+QUERIES = registered()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +25,7 @@ def statements():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 def test_entry(spark):
