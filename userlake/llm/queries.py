@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from userlake.llm import chat, quality
+from userlake.llm import bpe_codec, chat, quality, token_counts
 from userlake.llm.common import importable_on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), BYTE_BPE)
+
 
 def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     conversations = chat.with_hostile_conversation(table(spark, folder, "conversations"))
@@ -21,9 +28,15 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents")).drop("source")
 
 
+def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_codec.digest_codes(table(spark, folder, "documents"), BYTE_BPE)
+
+
 QUERIES: dict[str, Query] = {
+    "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
     "op4_quality_rules": op4_quality_rules,
+    "op9_bpe_codec": op9_bpe_codec,
 }
 
 
