@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from userlake.llm import bpe_codec, chat, quality, token_counts
+from userlake.llm import bpe_codec, chat, quality, simhash, token_counts
 from userlake.llm.common import importable_on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_conversations(conversations))
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents")).drop("source")
 
@@ -35,6 +39,7 @@ def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
+    "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
     "op9_bpe_codec": op9_bpe_codec,
 }
