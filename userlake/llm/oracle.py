@@ -66,7 +66,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-STATEMENTS: dict[str, str] = {"op2_chat_format": OP2, "op4_quality_rules": OP4}
+OP6 = r"""
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+), placed AS (
+  SELECT *, min(page_id) OVER (PARTITION BY html) AS first,
+    row_number() OVER (PARTITION BY html, page_id) AS repeat
+  FROM hashed
+)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) % 32)::BIGINT, 1)), '') AS payload_digest,
+  CASE WHEN first IS NULL OR (page_id = first AND repeat = 1) THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first IS NULL OR (page_id = first AND repeat = 1) THEN NULL ELSE first END AS refers_to
+FROM placed
+"""
+
+STATEMENTS: dict[str, str] = {"op2_chat_format": OP2, "op4_quality_rules": OP4, "op6_warc": OP6}
 
 
 def statements() -> dict[str, str]:
