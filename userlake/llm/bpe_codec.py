@@ -201,7 +201,7 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def learn(self, pieces: Iterable[str]) -> None:
-        unknown = list(set(pieces) - self.known.keys())
+        unknown = [p for p in set(pieces) if p not in self.known]
         if len(self.known) + len(unknown) > REMEMBERED:
             self.known.clear()
             unknown = list(set(pieces))
@@ -214,9 +214,7 @@ class Encoder:
         for text in texts:
             stretches, specials = self.parts.segments(text)
             cut.append(([self.parts.split(s) for s in stretches], specials))
-        pieces = {p for stretches, _ in cut for s in stretches for p in s}
-        if pieces - self.known.keys():
-            self.learn(pieces)
+        self.learn({p for stretches, _ in cut for s in stretches for p in s})
         out = []
         for stretches, specials in cut:
             blobs = [b"".join(map(self.known.__getitem__, s)) for s in stretches]

@@ -48,11 +48,11 @@ class Counts(dict):
 
     def learn(self, pieces: Iterable[str], tokenizer) -> None:
         """Merge those of the pieces that are not known."""
-        unknown = list(set(pieces) - self.keys())
+        unknown = [p for p in set(pieces) if p not in self]
         if len(self) - len(self.whole) + len(unknown) > REMEMBERED:
             self.clear()
             self.update(self.whole)
-            unknown = list(set(pieces) - self.keys())
+            unknown = [p for p in set(pieces) if p not in self]
         encoded = tokenizer.encode_batch(unknown, add_special_tokens=False)
         self.update(zip(unknown, (len(e.ids) for e in encoded)))
 
