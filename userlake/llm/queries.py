@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from userlake.llm import bpe_codec, chat, quality, simhash, token_counts, warc
+from userlake.llm import bpe_codec, chat, decontaminate, quality, simhash, token_counts, warc
 from userlake.llm.common import importable_on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.digests(warc.archive_pages(table(spark, folder, "pages")))
 
 
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_codec.digest_codes(table(spark, folder, "documents"), BYTE_BPE)
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Query] = {
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
     "op6_warc": op6_warc,
+    "op7_decontaminate": op7_decontaminate,
     "op9_bpe_codec": op9_bpe_codec,
 }
 
