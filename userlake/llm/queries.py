@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from userlake.llm import bpe_codec, chat, decontaminate, quality, simhash, token_counts, warc
+from userlake.llm import bpe_codec, chat, decontaminate, licenses, quality, simhash, token_counts, warc
 from userlake.llm.common import importable_on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_codec.digest_codes(table(spark, folder, "documents"), BYTE_BPE)
 
 
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    files = licenses.document_files(table(spark, folder, "documents"))
+    return licenses.scan_licenses(files).withColumnRenamed("file_id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
@@ -52,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
     "op9_bpe_codec": op9_bpe_codec,
+    "op10_licenses": op10_licenses,
 }
 
 
