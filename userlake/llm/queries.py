@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from userlake.llm import bpe_codec, chat, decontaminate, licenses, quality, simhash, token_counts, warc
+from userlake.llm import bpe_codec, chat, decontaminate, licenses, quality, sanitise, simhash, token_counts, warc
 from userlake.llm.common import importable_on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents")).drop("source")
 
 
+def op5_sanitise(spark: SparkSession, folder: str) -> DataFrame:
+    return sanitise.digests(sanitise.all_spans(table(spark, folder, "documents")))
+
+
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.digests(warc.archive_pages(table(spark, folder, "pages")))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Query] = {
     "op2_chat_format": op2_chat_format,
     "op3_simhash": op3_simhash,
     "op4_quality_rules": op4_quality_rules,
+    "op5_sanitise": op5_sanitise,
     "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
     "op9_bpe_codec": op9_bpe_codec,
