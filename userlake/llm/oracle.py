@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 OP2 = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -86,4 +88,4 @@ STATEMENTS: dict[str, str] = {"op2_chat_format": OP2, "op4_quality_rules": OP4,
 
 
 def statements() -> dict[str, str]:
-    return dict(STATEMENTS)
+    return dict(STATEMENTS) | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

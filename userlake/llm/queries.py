@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op7_decontaminate": op7_decontaminate,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_licenses": op10_licenses,
+    "pipeline": corpus_pipeline.run,
 }
 
 
