@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from userlake.llm import bpe_codec, chat, decontaminate, licenses, quality, sanitise, simhash, token_counts, warc
+from userlake.llm import bpe_codec, chat, decontaminate, licenses, quality, repeats, sanitise, simhash, token_counts, warc
 from userlake.llm.common import importable_on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op8_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digests(repeats.without_repeats(table(spark, folder, "documents")))
+
+
 def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_codec.digest_codes(table(spark, folder, "documents"), BYTE_BPE)
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op5_sanitise": op5_sanitise,
     "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
+    "op8_repeats": op8_repeats,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_licenses": op10_licenses,
     "pipeline": corpus_pipeline.run,
