@@ -54,6 +54,7 @@ def test_a_failing_host_takes_its_documents_along(spark, documents):
     assert not got[81]["kept"] and got[82]["kept"]
     kept = quality.keep_good(documents(*rows).withColumn("n_words", F.lit(7)).withColumn("_host", F.lit("x")))
     assert sorted(r.doc_id for r in kept.collect()) == [*range(31, 81), 82]
+    assert {(r.n_words, r._host) for r in kept.collect()} == {(7, "x")}
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_words", "_host"]
 
 

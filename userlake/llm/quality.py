@@ -213,13 +213,13 @@ def judge(documents: DataFrame) -> DataFrame:
 
 def keep_good(documents: DataFrame) -> DataFrame:
     """The documents that pass, with their columns. The base rules run twice, so that no text is stored or shuffled."""
-    name = unique_names(documents, "failed", "host")
-    failed, host = name["failed"], name["host"]
     figures = with_metrics(documents.select("source", "text"))
     judged = figures.select("source", fails_base(F.col("n_words"), F.col("n_repeat_words")).alias("failed"))
     hosts = stored(host_counts(judged, "source", "failed"), "quality-hosts")
-    rejected = rejected_hosts(hosts, fit_prior(hosts)).select(F.col("host").alias(host))
-    columns = [F.col(f"`{c}`") for c in documents.columns]
-    marked = with_metrics(documents.select(*columns, F.col("text").alias(failed)), failed)
-    good = marked.where(~fails_base(F.col("n_words"), F.col("n_repeat_words")))
-    return good.join(rejected, good["source"] == rejected[host], "left_anti").select(*columns)
+    rejected = rejected_hosts(hosts, fit_prior(hosts))
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    marked = with_metrics(documents.select(whole.alias("row"), "text"))
+    # A generator of one row or none: a filter would be pushed below the figures and take them along, again and again.
+    passed = F.when(~fails_base(F.col("n_words"), F.col("n_repeat_words")), F.array("row"))
+    good = marked.select(F.explode(passed).alias("row"))
+    return good.join(rejected, good["row"]["source"] == rejected["host"], "left_anti").select("row.*")
