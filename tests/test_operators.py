@@ -158,3 +158,11 @@ def test_one_domain_holding_a_third_of_all_users(users_like, ctx):
     assert len(domains) == 801
     assert (domains["big.com"].user_count, domains["big.com"].market_share_percentage) == (400, 33.33)
     assert domains["d0.com"].total_users_in_batch == 1200
+
+
+def test_anomaly_detector_reads_its_input_twice(spark, tmp_path):
+    path = f"{tmp_path}/numbers"
+    spark.range(20).selectExpr("cast(id as double) AS x").write.parquet(path)
+    marked = detect_anomalies(spark.read.parquet(path), "x")
+    for df in (marked, marked.filter("is_anomaly"), marked.filter("is_anomaly AND anomaly_severity = 'High'")):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2

@@ -12,17 +12,16 @@ from userlake.functions.measures import rows, share, tally, tally_value
 from userlake.operators.ranking import with_row_number
 
 
-def with_batch_total(fact: DataFrame, users: DataFrame, name: str) -> DataFrame:
-    """Add the number of users in the row's batch.
+def with_batch_total(fact: DataFrame, name: str) -> DataFrame:
+    """Add the number of users in the row's batch, the sum of `user_count` over the batch.
 
-    The totals come from a count of the batch column alone and are joined back,
-    so a batch's rows need not meet in one task as they would in a window over
-    the batch. Batches are dated, so the totals are at most one row per day,
-    which is the bound that lets them be broadcast.
+    The totals are joined back, so a batch's rows need not meet in one task as
+    they would in a window over the batch; whether to broadcast them is left to
+    their size.
     """
-    totals = users.groupBy(F.col("processing_date").alias("_batch")).agg(rows().alias(name))
+    totals = fact.groupBy(F.col("processing_date").alias("_batch")).agg(F.sum("user_count").alias(name))
     same_batch = F.col("processing_date").eqNullSafe(F.col("_batch"))
-    return fact.join(F.broadcast(totals), same_batch).drop("_batch")
+    return fact.join(totals, same_batch).drop("_batch")
 
 
 def user_demographics(users: DataFrame, ctx: RunContext) -> DataFrame:
@@ -102,7 +101,7 @@ def age_generation_analysis(users: DataFrame, ctx: RunContext) -> DataFrame:
         tally_value("account_tenure_category", "New").alias("new_users"),
     )
     everyone = F.col("user_count")
-    shares = with_batch_total(segments, users, "total_users_in_batch").withColumns(
+    shares = with_batch_total(segments, "total_users_in_batch").withColumns(
         {
             "percentage_of_total": share(everyone, F.col("total_users_in_batch")),
             "business_email_percentage": share(F.col("business_email_count"), everyone),
@@ -127,7 +126,7 @@ def email_domain_analysis(users: DataFrame, ctx: RunContext) -> DataFrame:
         tally_value("gender", "male").alias("male_users"),
         tally_value("gender", "female").alias("female_users"),
     )
-    return with_batch_total(domains, users, "total_users_in_batch").withColumns(
+    return with_batch_total(domains, "total_users_in_batch").withColumns(
         {
             "market_share_percentage": share(F.col("user_count"), F.col("total_users_in_batch")),
             "gender_ratio_male_female": F.round(F.try_divide("male_users", "female_users"), 2),

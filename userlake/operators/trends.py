@@ -123,7 +123,7 @@ def geographic_expansion(users: DataFrame, ctx: RunContext) -> DataFrame:
         "user_acquisition_rate",
         F.round(F.col("user_count") / F.greatest("days_since_first_user", F.lit(1)), 4),
     )
-    shared = with_batch_total(rated, users, "total_users_global").withColumn(
+    shared = with_batch_total(rated, "total_users_global").withColumn(
         "market_share_percentage", share(F.col("user_count"), F.col("total_users_global"))
     )
     # One row per country and batch, so a window holds the country names of one batch.
