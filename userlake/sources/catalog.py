@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import StructField, StructType
 
 from userlake.context import RunContext
 from userlake.sources.records import RAW_COLUMNS, RAW_SCHEMA
@@ -51,7 +51,7 @@ def declared_schema(table: Mapping[str, Any]) -> StructType:
     ordered = sorted(table["columns"], key=lambda c: c["name"] in partitions)
     return StructType(
         [
-            StructField(c["name"], _parse_datatype_string(c["type"]), True, {"comment": c.get("comment", "")})
+            StructField(c["name"], StructType.fromDDL(f"c {c['type']}")[0].dataType, True, {"comment": c.get("comment", "")})
             for c in ordered
         ]
     )

@@ -55,8 +55,8 @@ def ingest_available(
             .parquet(raw_path)
         )
         if after_batch is not None:
-            stored = batch.sparkSession.read.parquet(raw_path).filter(F.col(BATCH) == batch_id)
-            after_batch(stored.drop(BATCH), batch_id)
+            own = batch.sparkSession.read.schema(batch.schema).parquet(f"{raw_path}/{BATCH}={batch_id}")
+            after_batch(own, batch_id)
 
     return (
         parse_user_json(messages)
