@@ -31,7 +31,7 @@ HEADLINE = [
     "fact_age_demographic_trends", "fact_data_quality_trends", "fact_registration_anomalies",
     "fact_quality_anomalies", "vw_age_generation_distribution", "vw_top_countries",
     "vw_quality_by_segment", "vw_executive_summary", "vw_monthly_business_summary",
-    "vw_anomaly_alert_dashboard", "country_x_engagement", "overall_health", "bronze_data_checks",
+    "vw_anomaly_alert_dashboard", "country_x_engagement", "pipeline_health", "bronze_data_checks",
     "incremental_ingest",
 ]
 RUNS = 3

@@ -428,7 +428,7 @@ def penetration_x_days(t: Tables) -> DataFrame:
 
 
 @check
-def overall_health(t: Tables) -> DataFrame:
+def pipeline_health(t: Tables) -> DataFrame:
     """Figures of the joined monthly, expansion, quality and anomaly tables.
 
     The figures are those of the row-level join of the five tables on the

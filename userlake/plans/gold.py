@@ -297,9 +297,14 @@ def vw_data_enrichment_impact(t: Tables) -> DataFrame:
             F.lit(kind).alias("data_type"), rows().alias("record_count"), F.lit(level).alias("enrichment_level")
         )
 
-    added = "age_group, generation, email_provider_type, data_quality_score, account_tenure_category"
+    # The labels.
     before = labelled(t["raw_users"], "Raw Data Fields", "Basic user info only")
-    return before.unionByName(labelled(t["users_transformed"], "Enriched Data Fields", f"Added: {added}"))
+    after = labelled(
+        t["users_transformed"],
+        "Enriched Data Fields",
+        "Added: age_group, generation, email_provider_type, data_quality_score, account_tenure_category",
+    )
+    return before.unionByName(after)
 
 
 @view()
@@ -428,9 +433,13 @@ def vw_country_expansion_timeline(t: Tables) -> DataFrame:
 
 @view("-registration_year", "-trend_magnitude", "age_group", "generation", "processing_date")
 def vw_age_group_trends(t: Tables) -> DataFrame:
-    direction = F.col("trend_direction")
-    rapid = direction.isin("Growing", "Declining") & (F.col("trend_magnitude") > RAPID_CHANGE)
-    intensity = F.when(rapid, F.concat(F.lit("Rapidly "), direction)).otherwise(direction)
+    direction, rapid = F.col("trend_direction"), F.col("trend_magnitude") > RAPID_CHANGE
+    # The labels.
+    intensity = (
+        F.when((direction == "Growing") & rapid, "Rapidly Growing")
+        .when((direction == "Declining") & rapid, "Rapidly Declining")
+        .otherwise(direction)
+    )
     return (
         t["fact_age_demographic_trends"]
         .select(
@@ -477,10 +486,12 @@ def vw_fastest_growing_demographics(t: Tables) -> DataFrame:
 @view("-processing_date")
 def vw_data_quality_trend_overview(t: Tables) -> DataFrame:
     trend, change = F.col("quality_trend"), F.col("quality_change")
-    significant = ((trend == "Improving") & (change > SIGNIFICANT_CHANGE)) | (
-        (trend == "Declining") & (change < -SIGNIFICANT_CHANGE)
+    # The labels.
+    intensity = (
+        F.when((trend == "Improving") & (change > SIGNIFICANT_CHANGE), "Significantly Improving")
+        .when((trend == "Declining") & (change < -SIGNIFICANT_CHANGE), "Significantly Declining")
+        .otherwise(trend)
     )
-    intensity = F.when(significant, F.concat(F.lit("Significantly "), trend)).otherwise(trend)
     # The window holds one row per batch.
     previous = F.lag("avg_quality_score").over(W.orderBy("processing_date"))
     return (
