@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from userlake.context import RunContext
 from userlake.operators.users import users_transformed
-from userlake.sources.sinks import save_table
+from userlake.sources.sinks import empty_partition, save_table
 from userlake.tables import INGEST_SUMMARIES, PARTITIONS, RAW, SILVER, USERS, Tables, tables_from_store
 
+BATCH_DATE = "processing_date"
+
 AGGREGATES = [
     "dim_user_demographics", "fact_geographic_analysis", "fact_age_generation_analysis",
     "fact_email_provider_analysis", "fact_email_domain_analysis", "fact_data_quality_metrics",
@@ -47,18 +49,19 @@ class Lake:
 
 
 def ingest_job(lake: Lake, raw: DataFrame, ctx: RunContext) -> None:
-    """Keep the raw users and write their summaries from the kept copy."""
-    lake.save(RAW, raw, "merge")
+    """Keep the raw users of the dates that arrived beside those of earlier dates, and summarise all that are kept."""
+    lake.save(RAW, raw, "overwrite")
     stored = lake.tables(ctx)
     for name, builder in INGEST_SUMMARIES.items():
         lake.save(name, builder(stored), "merge")
 
 
-def clean_job(lake: Lake, ctx: RunContext) -> None:
-    """Clean the raw users batch by batch; earlier batches stay in the table."""
-    stored = lake.tables(ctx)
-    lake.save("users_transformed", users_transformed(stored[RAW], ctx), "overwrite")
-    _fill(lake, stored, ["data_quality_summary"])
+def clean_job(lake: Lake, ctx: RunContext, batches: Sequence[date] | None = None) -> None:
+    """Clean the raw users of the run's dates; earlier ones stay in the table. The quality summary is that of the run."""
+    raw = _of_dates(lake.tables(ctx)[RAW], batches)
+    lake.save("users_transformed", users_transformed(raw, ctx), "overwrite")
+    users = _of_dates(lake.tables(ctx)[USERS], batches)
+    lake.save("data_quality_summary", SILVER["data_quality_summary"](Tables({USERS: lambda _: users}, ctx)), "overwrite")
 
 
 def aggregate_job(lake: Lake, ctx: RunContext, batches: Sequence[date] | None = None) -> None:
@@ -77,22 +80,41 @@ def run_all(
     """Raw users to stored facts; the views, checks and reports read the result.
 
     `raw` is what has arrived and `batches` names its dates, so that a daily run
-    reads the partitions of that day instead of the whole history.
+    reads the partitions of that day instead of the whole history. Rows of
+    another date are an error; a date without rows is emptied in all tables.
     """
+    if batches is not None:
+        arrived = {row[0] for row in raw.select(BATCH_DATE).distinct().collect()}  # one value for each day
+        if arrived - set(batches):
+            raise ValueError(f"rows of other dates than the run's: {sorted(map(str, arrived - set(batches)))}")
+        _empty(lake, set(batches) - arrived)
     ingest_job(lake, raw, ctx)
-    clean_job(lake, ctx)
+    clean_job(lake, ctx, batches)
     aggregate_job(lake, ctx, batches)
     time_series_job(lake, ctx, batches)
     return lake.tables(ctx)
 
 
+def _of_dates(df: DataFrame, batches: Sequence[date] | None) -> DataFrame:
+    return df if batches is None else df.filter(F.col(BATCH_DATE).isin(list(batches)))
+
+
+def _empty(lake: Lake, dates: set[date]) -> None:
+    """Take the rows of dates out of every stored table that is kept by date."""
+    for name in [RAW, *SILVER]:
+        table = f"{lake.database}.{name}"
+        if PARTITIONS[name] == [BATCH_DATE] and name != "data_quality_summary" and lake.spark.catalog.tableExists(table):
+            for day in sorted(dates):
+                empty_partition(lake.spark, table, BATCH_DATE, day)
+
+
 def _fill(
     lake: Lake, stored: Tables, names: Iterable[str], batches: Sequence[date] | None = None
 ) -> None:
     """Write tables from the stored ones they read, so no table is derived twice."""
     recent = stored
     if batches is not None:
-        users = stored[USERS].filter(F.col("processing_date").isin(list(batches)))
+        users = _of_dates(stored[USERS], batches)
         recent = Tables({USERS: lambda _: users}, stored.ctx)
     for name in names:
         mode = "merge" if name.startswith("dim_") else "overwrite"

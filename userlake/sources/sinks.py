@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from datetime import date
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _PARTITION_MODE = "spark.sql.sources.partitionOverwriteMode"
 
-# What a session without the table format or the rights to the table raises.
-_REFUSED = (AnalysisException, Py4JJavaError)
+# Error conditions of a session without the table format, or without the table's database.
+_UNAVAILABLE = {
+    "DATA_SOURCE_NOT_FOUND", "FORBIDDEN_DATASOURCE_IN_SPARK_CONNECT", "SCHEMA_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND",
+    "CATALOG_NOT_FOUND", "UNSUPPORTED_DATASOURCE_FOR_DIRECT_QUERY",
+}
+
+_log = logging.getLogger(__name__)
+
+
+def _unavailable(error: Exception) -> bool:
+    """Whether the format or the place is missing; a fault of the rows themselves is not such a case."""
+    if isinstance(error, AnalysisException):
+        return (error.getCondition() or "").split(".")[0] in _UNAVAILABLE
+    return isinstance(error, Py4JJavaError) and "ClassNotFoundException" in str(error)
 
 # Named file formats.
 FILE_FORMATS = {"parquet_snappy": "snappy", "parquet_plain": "none"}
@@ -91,9 +106,10 @@ def save_table_or_folder(
     partition_by: Sequence[str] = (),
     provider: str = "parquet",
 ) -> str:
-    """Write a table; failing that, create it empty and insert; failing that, write a folder.
+    """Write a table; without its format create it plainly and insert; without its database write a folder.
 
-    `provider` is the table format to try first. Returns which of "table",
+    `provider` is the table format to try first. Rows that do not fit the table
+    are an error and are written nowhere. Returns which of "table",
     "insert" and "folder" took the rows.
     """
     spark = df.sparkSession
@@ -104,13 +120,29 @@ def save_table_or_folder(
         else:
             save_table(df, table, mode, partition_by, path)
         return "table"
-    except _REFUSED:
-        pass
+    except (AnalysisException, Py4JJavaError) as error:
+        if not _unavailable(error):
+            raise
+        _log.warning("%s: format %s is not available, inserting instead", table, provider)
     try:
         if not spark.catalog.tableExists(table):
             save_table(df.limit(0), table, "overwrite", partition_by, f"{path}_table")
         save_table(df, table, mode, partition_by)
         return "insert"
-    except _REFUSED:
+    except (AnalysisException, Py4JJavaError) as error:
+        if not _unavailable(error):
+            raise
+        _log.warning("%s is not available, rows go to %s_parquet", table, path)
         df.write.mode("append" if mode == "append" else "overwrite").parquet(f"{path}_parquet")
         return "folder"
+
+
+def empty_partition(spark: SparkSession, table: str, column: str, value: date) -> None:
+    """Leave a dated partition of a table without rows."""
+    schema = StructType([f for f in spark.table(table).schema if f.name != column])
+    view = f"nothing_for_{table.replace('.', '_')}"
+    spark.createDataFrame([], schema).createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = DATE'{value}') SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)

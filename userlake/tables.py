@@ -87,7 +87,7 @@ SILVER: dict[str, Builder] = {
 
 # Partition columns on disk; the other silver tables are small and stay whole.
 PARTITIONS: dict[str, list[str]] = {
-    name: ["target_segment"] if name == "dim_user_demographics" else ["processing_date"] for name in SILVER
+    name: ["target_segment"] if name == "dim_user_demographics" else ["processing_date"] for name in [RAW, *SILVER]
 }
 
 READERS: dict[str, Builder] = {**gold.VIEWS, **checks.CHECKS, **bronze.CHECKS, **reports.REPORTS}

@@ -433,7 +433,7 @@ LAYERS["v_growing"] = f"""
 SELECT country, user_count, user_acquisition_rate, market_share_percentage, expansion_category, cities_represented,
   {rnd('avg_user_age', 1)} AS avg_user_age, {rnd('avg_data_quality', 1)} AS avg_data_quality,
   days_since_first_user, first_user_date, user_count_rank, expansion_rate_rank, processing_date
-FROM expansion WHERE expansion_category <> 'Emerging'"""
+FROM expansion WHERE expansion_category IN ('Top Tier', 'Mid Tier')"""
 LAYERS["v_penetration"] = f"""
 SELECT expansion_category, processing_date, count(*) AS country_count, {big('sum(user_count)')} AS total_users,
   {rnd('avg(market_share_percentage)', 2)} AS avg_market_share,
@@ -451,8 +451,8 @@ FROM expansion"""
 LAYERS["v_ages"] = f"""
 SELECT age_group, generation, registration_year, total_users_in_group, percentage_of_year, trend_direction,
   {rnd('trend_magnitude', 2)} AS trend_magnitude,
-  CASE WHEN trend_magnitude > 5 AND trend_direction = 'Growing' THEN 'Rapidly Growing'
-       WHEN trend_magnitude > 5 AND trend_direction = 'Declining' THEN 'Rapidly Declining'
+  CASE WHEN trend_direction = 'Growing' AND trend_magnitude > 5 THEN 'Rapidly Growing'
+       WHEN trend_direction = 'Declining' AND trend_magnitude > 5 THEN 'Rapidly Declining'
        ELSE trend_direction END AS trend_intensity,
   {rnd('avg_data_quality', 1)} AS avg_data_quality, total_countries, processing_date
 FROM ages"""
@@ -478,7 +478,7 @@ SELECT processing_date, total_records, {rnd('avg_quality_score', 2)} AS avg_qual
 FROM qtrend"""
 LAYERS["v_tracking"] = f"""
 SELECT processing_date, avg_quality_score, quality_change, quality_trend,
-  CASE sign(quality_change) WHEN 1 THEN 'Positive' WHEN -1 THEN 'Negative' ELSE 'Neutral' END AS change_direction,
+  CASE WHEN quality_change > 0 THEN 'Positive' WHEN quality_change < 0 THEN 'Negative' ELSE 'Neutral' END AS change_direction,
   abs(quality_change) AS change_magnitude,
   excellent_quality_count + good_quality_count AS high_quality_records,
   {pct('excellent_quality_count + good_quality_count', 'total_records')} AS high_quality_percentage, total_records
@@ -554,6 +554,12 @@ SQL |= {
             "sink_table_fallback",
         ]
     },
+    "daily_runs": """
+SELECT layer, processing_date AS batch, count(*) AS records
+FROM raw, (VALUES ('raw'), ('users'), ('quality summary'), ('facts')) AS layers(layer)
+WHERE processing_date IN ('2024-10-01', '2024-10-02', '2024-10-03') GROUP BY ALL
+UNION ALL SELECT 'analytics', NULL, count(*) FROM raw
+WHERE processing_date IN ('2024-10-01', '2024-10-02', '2024-10-03')""",
     "sink_json_csv": f"SELECT {RAW12}, unnest(['json', 'csv']) AS file_format FROM raw",
     "ext_table_user_analytics": _all("metrics"),
     "ext_table_user_demographics": _all("places"),
@@ -656,10 +662,10 @@ SELECT geographic_level, processing_date, user_count, round(z_score, 6) AS z_sco
     "vw_engagement_by_generation": _all("v_engagement"),
     "vw_gender_by_age_group": _all("v_gender"),
     "vw_high_engagement_segments": "SELECT age_group, generation, gender, user_count, engagement_score,"
-    " business_email_percentage, veteran_percentage FROM agegen WHERE engagement_score >= 35",
+    " business_email_percentage, veteran_percentage FROM agegen WHERE engagement_tier = 'High'",
     "vw_email_provider_market_share": _all("v_share"),
     "vw_top_email_domains": "SELECT email_domain, email_provider_type, user_count, market_share_percentage,"
-    " avg_user_age, countries_using, gender_ratio_male_female FROM domains WHERE user_count > 1",
+    " avg_user_age, countries_using, gender_ratio_male_female FROM domains WHERE user_count >= 2",
     "vw_email_provider_age_demographics": _all("v_provider_age"),
     "vw_data_quality_metrics": "SELECT processing_date, total_records, excellent_quality_percentage,"
     " good_quality_percentage, email_validity_percentage, phone_validity_percentage, data_completeness_score,"
@@ -808,7 +814,7 @@ FROM v_fastest f LEFT JOIN v_insights i USING (processing_date) WHERE f.growth_r
 SELECT p.expansion_category, p.country_count AS countries_in_category, p.total_users, d.day_name,
   d.registrations AS day_registrations, d.percentage_of_weekly_registrations
 FROM v_penetration p CROSS JOIN v_days d WHERE d.popularity_rank <= 3""",
-    "overall_health": f"""
+    "pipeline_health": f"""
 SELECT 'Pipeline Health Check' AS report_type, count(DISTINCT m.time_period) AS months_with_data,
   avg(m.registrations) AS avg_monthly_registrations, avg(m.growth_rate) AS avg_growth_rate,
   count(DISTINCT e.country) AS countries_active, avg(q.avg_quality_score) AS avg_quality_score,

@@ -6,13 +6,14 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, TimestampType
 
 from userlake import RunContext, Tables, tables_from_raw
 from userlake.operators import facts, summaries, trends
 from userlake.operators.users import enrich, validate_and_cleanse
+from userlake.plans.jobs import Lake, run_all
 from userlake.sources import catalog, records, sinks
 from userlake.sources.fixture import users_of_customers
 from userlake.sources.scratch import scratch_folder
@@ -39,7 +40,7 @@ ORDER_DEPENDENT: dict[str, list[str]] = {
     "low_quality_alert": ["avg_score"],
     "country_x_engagement": ["engagement_business_email_pct"],
     "age_engagement_rate": ["avg_business_email_pct"],
-    "overall_health": ["avg_monthly_registrations", "avg_growth_rate", "avg_quality_score"],
+    "pipeline_health": ["avg_monthly_registrations", "avg_growth_rate", "avg_quality_score"],
 }
 
 RAW_DATED = [*records.RAW_COLUMNS, "processing_date"]
@@ -250,6 +251,37 @@ def sink_table_fallback(spark: SparkSession, folder: str) -> DataFrame:
     return written.select(*RAW_DATED)
 
 
+def daily_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows by layer and batch after three daily runs of the jobs, the last of which is repeated."""
+    raw, path = raw_users(spark, folder), scratch_folder(spark, "daily")
+    days = [date(2024, 10, 1), date(2024, 10, 2), date(2024, 10, 3)]
+    lake = Lake(spark, f"daily_{path[-8:]}", path)
+    try:
+        for day in [*days, days[-1]]:
+            ctx = RunContext(as_of=day, run_ts=datetime(day.year, day.month, day.day))
+            stored = run_all(lake, raw.filter(F.col("processing_date") == day), ctx, [day])
+
+        def counted(layer: str, rows: DataFrame, count: Column, by: Column) -> DataFrame:
+            return rows.groupBy(by.alias("batch")).agg(count.cast("bigint").alias("records")).select(
+                F.lit(layer).alias("layer"), "batch", "records"
+            )
+
+        every, batch = F.count(F.lit(1)), F.col("processing_date")
+        totals = stored["user_analytics"].filter("metric_name = 'total_users'")
+        layers = (
+            counted("raw", stored["raw_users"], every, batch)
+            .unionByName(counted("users", stored["users_transformed"], every, batch))
+            .unionByName(counted("quality summary", stored["data_quality_summary"], F.sum("total_records"), batch))
+            .unionByName(counted("facts", stored["fact_quality_by_segment"], F.sum("segment_total"), batch))
+            .unionByName(counted("analytics", totals, F.sum("metric_value"), F.lit(None).cast("date")))
+        )
+        out = f"{path}_layers"
+        layers.write.parquet(out)
+        return spark.read.parquet(out)
+    finally:
+        spark.sql(f"DROP DATABASE {lake.database} CASCADE")
+
+
 def sink_json_csv(spark: SparkSession, folder: str) -> DataFrame:
     raw = raw_users(spark, folder).select(*records.RAW_COLUMNS)
     path = scratch_folder(spark, "dump")
@@ -330,6 +362,7 @@ QUERIES |= {
     "ext_table_user_demographics": _external("ext_user_demographics", "user_demographics"),
     "sink_table": sink_table,
     "sink_table_fallback": sink_table_fallback,
+    "daily_runs": daily_runs,
     "sink_json_csv": sink_json_csv,
     "temp_views": temp_views,
     "register_silver_tables": register_silver_tables,
