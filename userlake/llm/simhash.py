@@ -138,13 +138,13 @@ def near_duplicates(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 def keep_one_of_each(documents: DataFrame) -> DataFrame:
-    """The documents, of each component that with the smallest doc_id; of repeated rows one stays."""
+    """The documents, of each component that with the smallest doc_id; of repeated rows one stays.
+
+    The list of those that stay grows with the documents, so it is always
+    merged, never broadcast, and the texts move once at every size.
+    """
     labels = stored(near_duplicates(documents.select("doc_id", "text")).select("doc_id", "component_id"), "components")
-    later = labels.where("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct()
-    repeated = (
-        labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n")).where("n > 1")
-    )
-    kept = documents.join(later, documents["doc_id"] == later["id"], "left_anti")
-    single = kept.join(repeated, kept["doc_id"] == repeated["id"], "left_anti")
-    first = kept.join(repeated, kept["doc_id"] == repeated["id"], "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(first)
+    first = labels.where("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
+    named = documents.where(F.col("doc_id").isNotNull())
+    kept = named.join(first.hint("merge"), named["doc_id"] == first["id"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(documents.where(F.col("doc_id").isNull()))
