@@ -94,3 +94,11 @@ def test_odd_rows(spark, documents):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2]
     assert dc.find_matches(df, bench.limit(0)).collect() == [] and dc.drop_contaminated(df, bench.limit(0)).count() == 7
     assert dc.find_matches(df.limit(0), bench).collect() == []
+
+
+def test_an_item_without_id_contaminates_as_any_other(spark, documents):
+    passage = "alpha beta gamma delta epsilon zeta"
+    df = documents(f"x {passage} y", "eta theta iota kappa lambda", "clean words of no item at all")
+    bench = spark.createDataFrame([(None, passage), (1, "eta theta iota kappa lambda")], ITEMS)
+    assert [r.doc_id for r in dc.drop_contaminated(df, bench).collect()] == [2]
+    assert [(r.doc_id, r.item_id) for r in dc.find_matches(df, bench).collect()] == [(1, 1)]

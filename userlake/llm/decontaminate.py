@@ -12,9 +12,11 @@ every document is held against every block; nothing is shuffled. Words are runs
 of letters and digits in lower case.
 
 Defined cases: a null or empty text matches nothing; an item of fewer than five
-words is not searched for; repeated items are reported each; repeated rows and
-rows without doc_id are judged each; empty tables give an empty result, or all
-documents as clean; further columns are ignored or kept as stated.
+words is not searched for; repeated items are reported each; an item without
+item_id contaminates documents as any other, but has no name to be reported
+under; repeated rows and rows without doc_id are judged each; empty tables give
+an empty result, or all documents as clean; further columns are ignored or kept
+as stated.
 """
 
 from __future__ import annotations
@@ -68,8 +70,8 @@ def seeds(codes: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
 class Benchmark:
     """A block of items as codes in one array, and their seeds."""
 
-    def __init__(self, items: list[tuple[int, list[str]]]):
-        self.ids = np.array([i for i, _ in items], np.int64)
+    def __init__(self, items: list[tuple[int | None, list[str]]]):
+        self.ids = [i for i, _ in items]
         self.codes_of: dict[str, int] = {}
         number = self.codes_of.setdefault
         flat = [number(w, len(self.codes_of) + 1) for _, ws in items for w in ws]
@@ -145,7 +147,7 @@ class Search:
                     rows.append(np.stack([doc[inner], item[inner], begin[inner] + k, p[inner] + steps[first] + k], axis=1))
         return np.unique(np.concatenate(rows), axis=0)
 
-    def matches(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
+    def matches(self, texts: list[str | None]) -> list[tuple[int, int | None, int, int, int]]:
         """(text, item, words of the item found, words of the item, first word in the text) of each match."""
         cut = [words(t) for t in texts]
         lengths = np.array([len(ws) for ws in cut], np.int64)
@@ -163,7 +165,7 @@ class Search:
         np.minimum.at(opening, inverse.reshape(-1), rows[:, 3])
         block = self.block
         return [
-            (int(d), int(block.ids[i]), int(n), int(block.end[i] - block.start[i]), int(o - start[d]))
+            (int(d), block.ids[i], int(n), int(block.end[i] - block.start[i]), int(o - start[d]))
             for (d, i), n, o in zip(pairs.tolist(), found.tolist(), opening.tolist())
         ]
 
@@ -187,7 +189,7 @@ def blocks(benchmark: DataFrame, size: int = BLOCK_CHARS) -> Iterator[Benchmark]
     items, chars = [], 0
     for row in benchmark.select("item_id", "text").toLocalIterator():
         cut = words(row["text"])
-        if len(cut) < SEED_SPAN or row["item_id"] is None:
+        if len(cut) < SEED_SPAN:
             continue
         items.append((row["item_id"], cut))
         chars += len(row["text"])
@@ -201,6 +203,7 @@ def blocks(benchmark: DataFrame, size: int = BLOCK_CHARS) -> Iterator[Benchmark]
 def find_matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each document and item that share a passage: nothing for clean documents."""
     context = documents.sparkSession.sparkContext
+    benchmark = benchmark.where("item_id IS NOT NULL")
     given, found = documents.select("doc_id", "text"), None
     for block in blocks(benchmark):
         shared = context.broadcast(block)
