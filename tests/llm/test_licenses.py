@@ -57,6 +57,23 @@ def test_nearest_directory_above_speaks_for_a_file(spark):
     assert licenses.scan_licenses(df.limit(0)).collect() == []
 
 
+def test_whole_licence_files_speak_for_their_directories(spark):
+    texts = {name: text for name, (text,) in licenses.whole_texts().items()}
+    agpl = texts["GPL-3.0"].replace("GNU GENERAL PUBLIC LICENSE", "GNU AFFERO GENERAL PUBLIC LICENSE", 1).replace("29 June", "19 November", 1)
+    texts["AGPL-3.0"] = agpl.replace("GNU General Public License as", "GNU Affero General Public License as")
+    rows = []
+    for k, (name, text) in enumerate(sorted(texts.items())):
+        rows += [(2 * k, f"/{name}/doc", f"Copyright (c) 2020 Some Body and others\n\n{text}"), (2 * k + 1, f"/{name}/src/x", "prose")]
+    prose = " ".join(f"word{i}" for i in range(300))
+    rows += [(900, "/n/COPYING", f"{MIT}\n{prose}"), (901, "/n/x", "prose"), (902, "/o/notes", f"{MIT}\n{prose}"), (903, "/o/x", "prose")]
+    rows += [(1000 + i, f"/p/{i}", f"plain prose of file {i} with the words of a text") for i in range(60)]
+    got = {r.file_id: r for r in licenses.scan_licenses(spark.createDataFrame([(*r, "") for r in rows], FILES)).collect()}
+    for k, name in enumerate(sorted(texts)):
+        assert (got[2 * k].license, got[2 * k].origin, got[2 * k].is_license_file) == (name, "own", True)
+        assert (got[2 * k + 1].license, got[2 * k + 1].from_directory) == (name, f"/{name}")
+    assert (got[901].license, got[902].license, got[903].license) == ("MIT", "MIT", None)
+
+
 def test_wordings_find_themselves_and_prose_finds_nothing():
     matcher = licenses.Matcher(1000, {"the": 900, "license": 20, "under": 300})
     for name, wordings in licenses.TEMPLATES.items():

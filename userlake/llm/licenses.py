@@ -4,9 +4,14 @@ Every sentence, line and paragraph of a file, and the file as a whole, is held
 against the templates; term weights come from the document frequencies of all
 files. A unit that reaches the bound must share one of the heaviest terms of a
 template, the rest of which alone could not reach it, so files without such a
-term are passed over. A file whose whole text reaches the bound is a licence
-file and speaks for its directory. A file without a licence of its own takes
-that of the nearest directory above it that has one.
+term are passed over. The file as a whole is also held against whole licence
+texts, with weights of their own. A file whose whole text reaches the bound to
+either, or that has a licence and the name of a licence file, is a licence file
+and speaks for its directory. A file without a licence of its own takes that of
+the nearest directory above it that has one.
+
+A whole text that is reached names the licence, unless a wording of a licence
+whose whole text is not held scores higher.
 
 Defined cases: a null or empty text has no licence of its own; a null path has
 no directory and inherits nothing; ties go to the first licence by name;
@@ -20,6 +25,8 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from importlib.resources import files as package_files
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -106,6 +113,12 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
 }
 
+# Terms that a file must and must not have to be given a whole text's name, where variants not held are much alike.
+APART: dict[str, tuple[frozenset[str], frozenset[str]]] = {
+    "CC-BY-SA-4.0": (frozenset({"sharealike"}), frozenset({"noncommercial", "noderivatives"})),
+}
+LICENSE_NAME = r"(?i)^(?:(?:un)?licen[cs]es?|copying|copyright)(?:[^a-z].*)?$"
+
 _WORD = re.compile(r"[^\W_]+")
 _PARAGRAPH = re.compile(r"\n[^\S\n]*\n\s*")
 _SENTENCE = re.compile(r"\n|(?<=[.!?;:])\s+")
@@ -178,13 +191,56 @@ class Matcher:
         return license, top, self.best(whole)[0] >= self.bound
 
 
+@cache
+def whole_texts() -> dict[str, tuple[str, ...]]:
+    """Whole licence texts by name, from the files beside this module."""
+    folder = package_files(__package__) / "license_texts"
+    return {f.name.removesuffix(".txt"): (f.read_text(encoding="utf-8"),) for f in folder.iterdir() if f.name.endswith(".txt")}
+
+
+class WholeMatcher:
+    """Scores files as wholes against whole licence texts."""
+
+    def __init__(self, files: int, frequency: dict[str, int], bound: float = MIN_COSINE):
+        self.bound, self.names = bound, frozenset(whole_texts())
+        self.matcher = Matcher(files, frequency, whole_texts(), bound)
+
+    def best(self, text: str | None) -> tuple[float, str | None]:
+        """Cosine and licence of the whole text that is reached, or none."""
+        words, weight = terms(text or ""), self.matcher.weight
+        known = foreign = 0.0
+        for t, n in Counter(words).items():
+            if t in weight:
+                known += (n * weight[t]) ** 2
+            else:
+                foreign += (n * self.matcher.foreign) ** 2
+        if known < (self.bound - 1e-6) ** 2 * (known + foreign):  # the rest is foreign, so no cosine can reach the bound
+            return 0.0, None
+        score, name = self.matcher.best(words)
+        must, must_not = APART.get(name, (frozenset(), frozenset()))
+        if score < self.bound or not must.issubset(words) or not must_not.isdisjoint(words):
+            return 0.0, None
+        return score, name
+
+
+def judged(matcher: Matcher, whole: WholeMatcher, text: str | None) -> tuple[str | None, float | None, bool]:
+    """Licence of a file, its cosine, and whether the file is a licence, by wordings and whole texts."""
+    license, cosine, is_license = matcher.scan(text)
+    score, name = whole.best(text)
+    if name is None:
+        return license, cosine, is_license
+    if license is None or license in whole.names or cosine <= score:
+        license, cosine = name, score
+    return license, cosine, True
+
+
 def vocabulary(templates=TEMPLATES) -> frozenset[str]:
     return frozenset(t for wordings in templates.values() for w in wordings for t in terms(w))
 
 
 def term_frequencies(files: DataFrame) -> tuple[int, dict[str, int]]:
-    """Number of files, and of files with each term of the templates; bounded by the templates."""
-    known = vocabulary()
+    """Number of files, and of files with each term of the templates and whole texts; bounded by these."""
+    known = vocabulary() | vocabulary(whole_texts())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, found = 0, Counter()
@@ -202,23 +258,25 @@ def term_frequencies(files: DataFrame) -> tuple[int, dict[str, int]]:
 
 def own_licenses(files: DataFrame) -> DataFrame:
     """file_id, directory, license, cosine and is_license_file by the text of each file."""
-    matcher = files.sparkSession.sparkContext.broadcast(Matcher(*term_frequencies(files)))  # bounded by the templates
+    weights = term_frequencies(files)
+    shared = files.sparkSession.sparkContext.broadcast((Matcher(*weights), WholeMatcher(*weights)))  # bounded by the templates
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [matcher.value.scan(t.as_py()) for t in batch.column("text")]
+            found = [judged(*shared.value, t.as_py()) for t in batch.column("text")]
             names, scores, whole = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("file_id"), batch.column("directory"), pa.array(names, pa.string()),
-                    pa.array(scores, pa.float64()), pa.array(whole, pa.bool_()),
+                    pa.array(scores, pa.float64()),
+                    pa.array([w or (n is not None and bool(x)) for w, n, x in zip(whole, names, batch.column("named").to_pylist())], pa.bool_()),
                 ],
                 ["file_id", "directory", "license", "cosine", "is_license_file"],
             )
 
-    directory = F.substring_index("path", "/", -1)
-    directory = F.col("path").substr(F.lit(1), F.greatest(F.length("path") - F.length(directory) - 1, F.lit(0)))
-    return files.select("file_id", directory.alias("directory"), "text").mapInArrow(
+    name = F.substring_index("path", "/", -1)
+    directory = F.col("path").substr(F.lit(1), F.greatest(F.length("path") - F.length(name) - 1, F.lit(0)))
+    return files.select("file_id", directory.alias("directory"), name.rlike(LICENSE_NAME).alias("named"), "text").mapInArrow(
         scan, "file_id bigint, directory string, license string, cosine double, is_license_file boolean"
     )
 
