@@ -84,7 +84,49 @@ SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
 FROM placed
 """
 
-STATEMENTS: dict[str, str] = {"op2_chat_format": OP2, "op4_quality_rules": OP4, "op6_warc": OP6}
+OP13 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+  FROM documents
+), words AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+), counts AS (
+  SELECT lang, source, term, count(*) AS c FROM words JOIN kept USING (lang, term) GROUP BY ALL
+), langs AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS n FROM kept GROUP BY lang
+), groups AS (
+  SELECT g.lang, g.source, coalesce(v, 0) AS v, coalesce(s.n, 0)::HUGEINT AS n
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN langs USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM counts GROUP BY lang, source) s USING (lang, source)
+), shares AS (
+  SELECT g.lang, g.source, term, coalesce(c, 0) AS c, total,
+    1 + 1000000000::HUGEINT * (coalesce(c, 0) + 5) // (g.n + 5 * g.v) AS p
+  FROM groups g JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), all_pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item,
+    p - (1 + 1000000000::HUGEINT * (total + 5) // (l.n + 5 * l.v)) AS value
+  FROM shares JOIN langs l USING (lang) WHERE c > 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item COLLATE "C") AS rank
+  FROM (FROM all_pairs UNION ALL FROM terms WHERE value > 0)
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+STATEMENTS: dict[str, str] = {"op2_chat_format": OP2, "op4_quality_rules": OP4, "op6_warc": OP6, "op13_divergence": OP13}
 
 
 def statements() -> dict[str, str]:

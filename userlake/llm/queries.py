@@ -8,7 +8,9 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from userlake.llm import bpe_codec, chat, decontaminate, licenses, quality, repeats, sanitise, simhash, token_counts, warc
+from userlake.llm import (
+    bpe_codec, chat, decontaminate, divergence, licenses, quality, repeats, sanitise, simhash, token_counts, warc,
+)
 from userlake.llm.common import importable_on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +60,10 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(files).withColumnRenamed("file_id", "doc_id")
 
 
+def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
     "op2_chat_format": op2_chat_format,
@@ -69,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op8_repeats": op8_repeats,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_licenses": op10_licenses,
+    "op13_divergence": op13_divergence,
     "pipeline": corpus_pipeline.run,
 }
 
