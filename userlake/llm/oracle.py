@@ -84,6 +84,66 @@ SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
 FROM placed
 """
 
+OP11 = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+    min(doc_id) OVER (PARTITION BY text) AS first
+  FROM docs
+), flags AS (
+  SELECT doc_id, part,
+    len(words) < 100 AS a,
+    100 * len(list_distinct(words)) < 80 * len(words) AS b,
+    100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text) AS c,
+    regexp_matches(text, '[#$%&*|]') AS d,
+    coalesce(first < doc_id, false) AS e
+  FROM split
+), labelled AS (
+  SELECT f.part, f.a::INT + 2 * f.b::INT + 4 * f.c::INT + 8 * f.d::INT + 16 * f.e::INT AS mask,
+    coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic
+  FROM flags f LEFT JOIN (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+  ) l USING (doc_id)
+), cells AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM labelled GROUP BY part, mask
+), letters AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) t(f, bit)
+), orders AS (
+  SELECT p.f || q.f || r.f || s.f || t.f AS filter_order, [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits
+  FROM letters p, letters q, letters r, letters s, letters t
+  WHERE p.bit + q.bit + r.bit + s.bit + t.bit = 31 AND (p.bit | q.bit | r.bit | s.bit | t.bit) = 31
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM orders, range(1, 6) g(step)
+), counts AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY ALL
+)
+SELECT * EXCLUDE (bit, step), step::INT AS step, sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM counts
+"""
+
+OP12 = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS uid, vec_id, [floor(64 * x::DOUBLE)::BIGINT for x in embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scores AS (
+  SELECT q.uid AS query, q.vec_id AS query_id, x.uid, x.vec_id, list_sum(list_transform(list_zip(q.v, x.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM vectors q JOIN vectors x ON q.uid <> x.uid AND len(q.v) = len(x.v) WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id NULLS LAST, uid) AS rank FROM scores
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, coalesce(score, 0) AS score FROM ranked WHERE rank <= 20
+"""
+
 OP13 = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
@@ -126,7 +186,14 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 50
 """
 
-STATEMENTS: dict[str, str] = {"op2_chat_format": OP2, "op4_quality_rules": OP4, "op6_warc": OP6, "op13_divergence": OP13}
+STATEMENTS: dict[str, str] = {
+    "op2_chat_format": OP2,
+    "op4_quality_rules": OP4,
+    "op6_warc": OP6,
+    "op11_filter_audit": OP11,
+    "op12_metric_search": OP12,
+    "op13_divergence": OP13,
+}
 
 
 def statements() -> dict[str, str]:

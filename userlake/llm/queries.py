@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from userlake.llm import (
-    bpe_codec, chat, decontaminate, divergence, licenses, quality, repeats, sanitise, simhash, token_counts, warc,
+    bpe_codec, chat, decontaminate, divergence, filter_audit, licenses, metric_tree, quality, repeats, sanitise, simhash,
+    token_counts, warc,
 )
 from userlake.llm.common import importable_on_workers, table
 
@@ -60,6 +61,14 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(files).withColumnRenamed("file_id", "doc_id")
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit_filters(spark, f"{folder}/documents.parquet", table(spark, folder, "labels"))
+
+
+def op12_metric_search(spark: SparkSession, folder: str) -> DataFrame:
+    return metric_tree.nearest_vectors(table(spark, folder, "embeddings"))
+
+
 def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.source_divergence(table(spark, folder, "documents"))
 
@@ -75,6 +84,8 @@ QUERIES: dict[str, Query] = {
     "op8_repeats": op8_repeats,
     "op9_bpe_codec": op9_bpe_codec,
     "op10_licenses": op10_licenses,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_metric_search": op12_metric_search,
     "op13_divergence": op13_divergence,
     "pipeline": corpus_pipeline.run,
 }
