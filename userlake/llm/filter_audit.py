@@ -11,10 +11,13 @@ E. Counters are by part, mask and labels; each micro-batch writes its own
 changes, so that a repeated batch replaces them. All orders follow from the
 counters: a filter removes the documents that fail it and none before it.
 
-Of the rows of one text a task sends on only those that may be the first, and
-sums the others, so that a text with very many copies brings a row from each
-task. With large state, run on the RocksDB state store; the default keeps it in
-memory.
+Texts are dealt to buckets by their digest, and the state store holds the texts
+of a bucket as one value: most texts occur once, and calling the stateful step
+for each would cost more than all the rest. Buckets grow in number with the
+documents, so that each stays small. Of the rows of one text a task sends on
+only those that may be the first, and sums the others, so that a text with very
+many copies brings a row from each task. With large state, run on the RocksDB
+state store; the default keeps it in memory.
 
 Defined cases: a null text is the empty one; a null lang is the part of the
 empty string; a row without doc_id never fails E, makes no other row fail it
@@ -52,6 +55,8 @@ CAPITALS = bytes(range(0x41, 0x5B))
 MICRO_BATCHES = 4
 # Texts of which a task holds the first row before it passes them on.
 HELD_TEXTS = 200_000
+# Documents for which there is one more bucket; a bucket's state is some 80 bytes for each of its texts.
+DOCUMENTS_PER_BUCKET = 20_000
 # Documents without doc_id have no label; they are spread over this many keys of the join.
 NULL_KEYS = 64
 
@@ -59,7 +64,7 @@ FLAGGED = "doc_id bigint, part string, text_key binary, mask int"
 CHANGE = "part string, mask int, good boolean, toxic boolean, n bigint"
 # `settled` rows are sums whose E is known; they have no doc_id of their own (0, as a null would turn ids into floats).
 ARRIVAL = "text_key binary, settled boolean, doc_id bigint, " + CHANGE
-STATE = "first bigint, mask int, held string"
+STATE = "texts binary"
 COUNTS = ["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
 
 
@@ -164,19 +169,51 @@ def changes_of_text(
     return state, changes
 
 
-def update_text(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The stateful step: `changes_of_text` of the rows that a micro-batch brings for one text."""
-    kept = None
-    if state.exists:
-        first, mask, held = state.get
-        kept = (first, mask, json.loads(held))
-    arrivals = []
+KEPT_ARROW = pa.schema(
+    [
+        ("text_key", pa.binary()), ("first", pa.int64()), ("mask", pa.int32()), ("part", pa.string()),
+        ("good", pa.bool_()), ("toxic", pa.bool_()), ("n", pa.int64()),
+    ]
+)
+
+
+def load_texts(state: bytes) -> dict[bytes, tuple[int, int, list]]:
+    """The texts of a bucket from its state; a first row that is held several times has a row for each."""
+    texts: dict[bytes, tuple[int, int, list]] = {}
+    for key, first, mask, *row in zip(*(c.to_pylist() for c in pa.ipc.open_stream(state).read_all().columns)):
+        texts.setdefault(key, (first, mask, []))[2].append(row)
+    return texts
+
+
+def dump_texts(texts: dict[bytes, tuple[int, int, list]]) -> bytes:
+    rows = [(key, first, mask, *row) for key, (first, mask, held) in texts.items() for row in held]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), KEPT_ARROW.types)]
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, KEPT_ARROW) as stream:
+        stream.write_batch(pa.RecordBatch.from_arrays(columns, schema=KEPT_ARROW))
+    return sink.getvalue().to_pybytes()
+
+
+def update_texts(bucket: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The stateful step: `changes_of_text` for each text of a bucket that a micro-batch brings rows for."""
+    texts = load_texts(state.get[0]) if state.exists else {}
+    total: Counter = Counter()
+    moved = False
     for frame in frames:
-        arrivals += zip(*(frame[c].tolist() for c in ("settled", "doc_id", "part", "mask", "good", "toxic", "n")))
-    now, changes = changes_of_text(kept, arrivals)
-    if now is not None and now != kept:
-        state.update((now[0], now[1], json.dumps(now[2])))
-    yield pd.DataFrame(dict(zip(("part", "mask", "good", "toxic", "n"), zip(*changes))))
+        columns = (frame[c].tolist() for c in ("text_key", "settled", "doc_id", "part", "mask", "good", "toxic", "n"))
+        for key, *arrival in zip(*columns):
+            key = bytes(key)
+            kept = texts.get(key)
+            now, changes = changes_of_text(kept, [arrival])
+            if now is not kept:
+                texts[key], moved = now, True
+            for *what, n in changes:
+                total[tuple(what)] += n
+    if moved:
+        state.update((dump_texts(texts),))
+    rows = [(*what, n) for what, n in total.items() if n]
+    if rows:
+        yield pd.DataFrame(rows, columns=["part", "mask", "good", "toxic", "n"])
 
 
 def label_flags(labels: DataFrame) -> DataFrame:
@@ -187,7 +224,7 @@ def label_flags(labels: DataFrame) -> DataFrame:
     )
 
 
-def stream_changes(documents: DataFrame, flags: DataFrame) -> DataFrame:
+def stream_changes(documents: DataFrame, flags: DataFrame, buckets: int) -> DataFrame:
     """Changes of the counters as documents arrive, from a streaming DataFrame and the stored `label_flags`."""
     part = F.coalesce(F.col("lang"), F.lit("")).alias("part")
     flagged = documents.select("doc_id", part, "text").mapInArrow(flag, FLAGGED)
@@ -202,8 +239,9 @@ def stream_changes(documents: DataFrame, flags: DataFrame) -> DataFrame:
     )
     return (
         rows.mapInArrow(settle, ARRIVAL)
-        .groupBy("text_key")
-        .applyInPandasWithState(update_text, CHANGE, STATE, "update", GroupStateTimeout.NoTimeout)
+        .withColumn("bucket", F.pmod(F.xxhash64("text_key"), F.lit(buckets)))
+        .groupBy("bucket")
+        .applyInPandasWithState(update_texts, CHANGE, STATE, "update", GroupStateTimeout.NoTimeout)
     )
 
 
@@ -223,6 +261,7 @@ def count_documents(
     spark.createDataFrame([], CHANGE).write.parquet(f"{counters}/batch=-1")
     found = spark.read.parquet(path)
     files_at_once = max(1, -(-len(found.inputFiles()) // micro_batches))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-found.count() // DOCUMENTS_PER_BUCKET))
 
     def add(changes: DataFrame, batch_id: int) -> None:
         summed = changes.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
@@ -230,7 +269,7 @@ def count_documents(
 
     documents = spark.readStream.schema(found.schema).option("maxFilesPerTrigger", files_at_once).parquet(_as_pattern(path))
     stream = (
-        stream_changes(documents, flags)
+        stream_changes(documents, flags, buckets)
         .writeStream.outputMode("update")
         .foreachBatch(add)
         .option("checkpointLocation", f"{root}/checkpoint")
