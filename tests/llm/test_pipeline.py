@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.conftest import DATA
-from tests.llm import test_decontaminate, test_quality, test_sanitise, test_simhash
+from tests.llm import test_decontaminate, test_near_copies, test_quality, test_sanitise
 from tests.llm.conftest import rows_by
 from userlake.llm.queries import BYTE_BPE, registered
 
@@ -36,8 +36,7 @@ def slow_pipeline(rows, items):
         return n >= 50 and 100 * repeats <= 50 * n
 
     texts = {r.doc_id: r.text for r in rows if passes(r.text)}  # no host of these data fails
-    prints = {i: test_simhash.slow_fingerprint(t) for i, t in sorted(texts.items())}
-    first = test_simhash.brute_components(prints)
+    first = test_near_copies.slow_groups(dict(sorted(texts.items())))
     texts = {i: t for i, t in sorted(texts.items()) if first[i] == i}
     bad = {d for d, _ in test_decontaminate.brute(list(texts.items()), items)}
     kept = {i: t for i, t in texts.items() if i not in bad}

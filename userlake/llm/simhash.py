@@ -45,12 +45,16 @@ def fingerprint(text: str | None) -> int:
         return 0
     shingles = map(b" ".join, zip(*(words[k:] for k in range(SHINGLE)))) if len(words) >= SHINGLE else [b" ".join(words)]
     count = max(len(words) - SHINGLE + 1, 1)
-    hashes = np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), ">u8", count)
+    return bits_of_majority(np.fromiter(map(xxh64_intdigest, shingles, repeat(SEED)), np.uint64, count))
+
+
+def bits_of_majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of 64-bit hashes; zero without any."""
     set_in = np.zeros(64, np.int64)
-    for at in range(0, count, 1 << 16):  # bounded memory for very long texts
-        part = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
+    for at in range(0, len(hashes), 1 << 16):  # bounded memory for very long texts
+        part = hashes[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8)
         set_in += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * set_in > count).tobytes(), "big")
+    return int.from_bytes(np.packbits(2 * set_in > len(hashes)).tobytes(), "big")
 
 
 def fingerprints(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -119,8 +123,13 @@ def star_links(members: DataFrame) -> DataFrame:
 
 
 def fingerprint_links(nodes: DataFrame, limit: int = BUCKET_LIMIT) -> DataFrame:
-    """Links (u, v) that connect all of the distinct fingerprints (node, fp) within two bits of each other."""
-    variants = half_variants(nodes)
+    """Links (u, v) that connect all of the distinct fingerprints (node, fp) within two bits of each other.
+
+    Each node becomes 64 rows, so the nodes are dealt to as many tasks as the
+    variants need, not to the few that their own size would.
+    """
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    variants = half_variants(nodes.repartition(tasks, "node"))
     shared = variants.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(variants.join(shared, "key"), "variants")
     return compared_links(members.where(F.col("n") <= limit)).unionByName(star_links(members.where(F.col("n") > limit)))
