@@ -2,14 +2,17 @@ from __future__ import annotations
 
 import hashlib
 import random
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from userlake.operators import facts, summaries, trends
 from userlake.operators.anomalies import detect_anomalies
-from userlake.operators.ranking import with_row_number
+from userlake.operators.ranking import falling, rising, with_range_number, with_row_number
+from userlake.operators.tallies import TOTAL, Kind, tallies
 from userlake.operators.users import users_transformed
 
 
@@ -53,6 +56,87 @@ def test_row_number_keeps_duplicates(spark):
     assert sorted(places) == [1, 2, 3]
 
 
+@pytest.mark.parametrize("ranges", [1, 8, 50])
+def test_range_number_equals_a_whole_sort(spark, ranges):
+    draw = random.Random(6)
+    days = [None, *[date(2020, 1, 1) + timedelta(d) for d in range(40)]]
+    # Group "hot" holds most rows, and most of those share one order value; the name settles ties.
+    rows = [("hot", draw.choice([0.1, 0.1, 0.1, None, float(i)]), draw.choice(days), f"name{i}") for i in range(3000)]
+    rows += [(draw.choice(["a", None]), draw.random(), draw.choice(days), f"other{i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "grp string, x double, d date, name string").repartition(7)
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[0]].append(row)
+    for order, key in [
+        ([*falling(F.col("x")), F.col("name")], lambda r: (r[1] is None, -(r[1] or 0), r[3])),
+        ([*rising(F.col("d")), F.col("name")], lambda r: (r[2] is None, r[2] or date.min, r[3])),
+    ]:
+        numbered = with_range_number(df, "place", ["grp"], order, ranges)
+        assert numbered.columns == ["grp", "x", "d", "name", "place"]
+        want = {r: i for members in groups.values() for i, r in enumerate(sorted(members, key=key), 1)}
+        assert {(r.grp, r.x, r.d, r.name): r.place for r in numbered.collect()} == want
+
+
+def test_range_number_of_repeated_rows_and_of_none(spark):
+    df = spark.createDataFrame([("g", 1)] * 5 + [("h", 2)], "grp string, n int")
+    numbered = with_range_number(df, "place", ["grp"], [F.col("n")], 4)
+    assert sorted((r.grp, r.place) for r in numbered.collect()) == [*[("g", i) for i in range(1, 6)], ("h", 1)]
+    assert with_range_number(df.limit(0), "place", ["grp"], [F.col("n")]).count() == 0
+
+
+def test_no_window_holds_the_countries_of_a_batch(tables):
+    for name in ["fact_geographic_analysis", "fact_geographic_expansion", "vw_country_expansion_timeline"]:
+        plan = tables[name]._jdf.queryExecution().optimizedPlan().toString()
+        numbered = [line for line in plan.splitlines() if "row_number()" in line]
+        assert numbered and all("_range" in line or "_cell" in line for line in numbered), name
+
+
+def test_a_range_tells_later_ones_about_its_last_group_only(spark):
+    """One group over many ranges: each row is numbered once, whatever the cut."""
+    rows = [(i // 700, i) for i in range(2100)]
+    df = spark.createDataFrame(rows, "grp int, n int")
+    places = {(r.grp, r.n): r.place for r in with_range_number(df, "place", ["grp"], [F.col("n")], 16).collect()}
+    assert places == {(g, n): n - 700 * g + 1 for g, n in rows}
+
+
+def test_tallies_equal_separate_counts(spark):
+    draw = random.Random(7)
+    rows = [(draw.choice(["x", "y", None, ""]), f"n{int(draw.expovariate(0.1))}") for _ in range(500)] + [(None, None)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    kinds = [
+        Kind("a", F.col("a")), Kind("filled", F.col("a"), where=F.col("a") != ""),
+        Kind("top", F.col("b"), leading=True), Kind("names", F.col("b"), distinct=True),
+    ]
+    found = {(r.kind, r.value): (r.n, r["values"], r.total) for r in tallies(df, kinds, leaders=5).collect()}
+    names = Counter(b for _, b in rows)
+    assert {v: n for (k, v), (n, _, _) in found.items() if k == "a"} == Counter(a for a, _ in rows)
+    assert {v: n for (k, v), (n, _, _) in found.items() if k == "filled"} == Counter(a for a, _ in rows if a)
+    first = sorted(names.items(), key=lambda item: (-item[1], item[0] or ""))[:5]
+    assert {v: n for (k, v), (n, _, _) in found.items() if k == "top"} == dict(first)
+    assert found["names", None][:2] == (501, len([n for n in names if n]))
+    assert found[TOTAL, None][0] == 501 and {total for _, _, total in found.values()} == {501}
+
+
+def test_summaries_read_raw_users_once(spark, ctx, raw, tmp_path):
+    raw.write.parquet(f"{tmp_path}/raw")
+    stored = spark.read.parquet(f"{tmp_path}/raw")
+    for summary in [
+        summaries.user_analytics, summaries.user_demographics, summaries.gender_distribution,
+        summaries.email_domain_top10, summaries.country_distribution, summaries.state_distribution_top10,
+        summaries.general_metrics,
+    ]:
+        plan = summary(stored, ctx)._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"Relation \[.*parquet", plan)) == 1, summary.__name__
+    for union in [summaries.user_analytics, summaries.user_demographics]:
+        assert "Sort [" not in union(stored, ctx)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_summaries_of_no_users(users_like, ctx):
+    rows = [(r.metric_name, r.metric_value, r.percentage) for r in summaries.user_analytics(users_like(), ctx).collect()]
+    assert sorted(rows) == [("total_users", 0, 100.0), ("unique_usernames", 0, None)]
+    assert summaries.user_demographics(users_like(), ctx).count() == 0
+
+
 def test_anomaly_detector_without_spread(spark):
     for values in ([5], [5, 5, 5]):
         df = spark.createDataFrame([(v,) for v in values], "x int")

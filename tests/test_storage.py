@@ -9,8 +9,9 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from userlake.operators import facts
+from userlake.operators import facts, trends
 from userlake.operators.users import users_transformed
+from userlake.plans import upkeep
 from userlake.plans.jobs import PER_BATCH, Lake, run_all
 from userlake.sources import catalog, records, sinks
 from userlake.streaming import ingest
@@ -156,6 +157,29 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     assert run() == ["1", "2", "3"]
 
 
+def test_ingest_takes_each_user_once(spark, tmp_path):
+    inbox, target, checkpoint = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/cp"
+
+    def drop(*users):
+        lines = spark.createDataFrame([(json.dumps({"id": i, "gender": g}),) for i, g in users], "value string")
+        lines.coalesce(1).write.mode("append").text(inbox)
+        ingest.ingest_available(ingest.stream_files(spark, inbox), target, checkpoint).awaitTermination()
+        return sorted((r.id or "", r.gender) for r in spark.read.parquet(target).collect())
+
+    # Of one id the smallest record of its first batch stays; records without an id are all kept.
+    assert drop(("1", "b"), ("1", "a"), (None, "x"), ("", "y")) == [("", "x"), ("", "y"), ("1", "a")]
+    assert drop(("1", "0"), ("2", "c"), ("", "y")) == [("", "x"), ("", "y"), ("", "y"), ("1", "a"), ("2", "c")]
+    assert drop(("2", "z")) == [("", "x"), ("", "y"), ("", "y"), ("1", "a"), ("2", "c")]
+
+
+def test_a_repeated_batch_gives_the_same_records(spark):
+    rows = [("1", "b"), ("1", "a"), ("2", "c"), (None, "d")]
+    earlier = spark.createDataFrame([("2", "old")], "id string, gender string")
+    for order in (rows, rows[::-1]):
+        batch = spark.createDataFrame(order, "id string, gender string")
+        assert bag(ingest.new_records(batch, earlier)) == Counter({("a", "1"): 1, ("d", "None"): 1})
+
+
 def test_each_ingest_batch_can_be_summarised(spark, ctx, raw, tmp_path):
     inbox, reports = f"{tmp_path}/in", {}
     lines = raw.select(F.to_json(F.struct(*records.RAW_COLUMNS)).alias("value"))
@@ -238,6 +262,79 @@ def test_daily_runs_equal_one_run_over_the_history(spark, ctx, raw, tmp_path):
         spark.sql("DROP DATABASE daily_lake CASCADE")
 
 
+def rows_without(df, *columns):
+    return bag(df.select([c for c in df.columns if c not in columns]))
+
+
+@pytest.fixture
+def small_lake(spark, tmp_path):
+    lake = Lake(spark, "small_" + tmp_path.name.replace("-", "_").lower(), f"{tmp_path}/lake")
+    yield lake
+    spark.sql(f"DROP DATABASE {lake.database} CASCADE")
+
+
+UPKEPT = ["dim_user_demographics", "fact_data_quality_metrics", "fact_data_quality_trends"]
+
+
+def test_upkeep_of_late_repeated_and_emptied_dates(ctx, raw, small_lake):
+    """After each run the kept tables equal those made from all users that are stored."""
+    days = [date(2024, 10, d) for d in range(1, 7)]
+
+    def of(*chosen):
+        return raw.filter(F.col("processing_date").isin(list(chosen)))
+
+    # An id of the sixth day that the fourth day has as well, until the fourth day is repeated without it.
+    shared = of(days[3]).limit(1).withColumn("processing_date", F.lit(days[5]))
+    fewer = of(days[3]).join(shared.select("picture"), "picture", "left_anti").select(raw.columns)
+    runs = [
+        ([days[3]], of(days[3])),
+        ([days[5]], of(days[5]).unionByName(shared)),
+        ([days[1], days[2]], of(days[1], days[2])),  # late dates
+        ([days[3]], fewer),  # repeated with fewer users: one is counted with the sixth day from now on
+        ([days[2]], of()),  # emptied
+        ([days[0], days[4]], of(days[0], days[4])),
+    ]
+    for dates, arrived in runs:
+        stored = run_all(small_lake, arrived, ctx, dates)
+        whole = tables_from_raw(stored[RAW], ctx)
+        for name in UPKEPT:
+            assert rows_without(stored[name], "z_score") == rows_without(whole[name], "z_score"), (name, dates)
+
+
+def test_upkeep_reads_users_of_the_run_only(spark, ctx, raw, small_lake):
+    first, second = date(2024, 10, 1), date(2024, 10, 2)
+    for day in (first, second):
+        run_all(small_lake, raw.filter(F.col("processing_date") == day), ctx, [day])
+    users = upkeep.of_dates(spark.table(f"{small_lake.database}.users_transformed"), [second])
+    plans = [
+        facts.user_demographics(users, ctx),
+        facts.daily_quality_figures(users),
+        trends.daily_quality(users),
+        upkeep.counted_users(users),
+    ]
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+        assert len(scans) == 1 and re.search(r"PartitionFilters: \[isnotnull\(processing_date.*2024-10-02", scans[0])
+
+
+def test_an_interrupted_move_of_counted_users_can_be_repeated(spark, ctx, raw, small_lake):
+    """Users that a repeated date has lost are added elsewhere first; doing so again changes nothing."""
+    day, other = date(2024, 10, 1), date(2024, 10, 2)
+    users = raw.filter(F.col("processing_date") == day)
+    again = users.withColumn("processing_date", F.lit(other))
+    run_all(small_lake, users, ctx, [day])
+    run_all(small_lake, again, ctx, [other])
+    table = f"{small_lake.database}.known_users"
+    before = spark.table(table).filter(F.col("processing_date") == day)
+    moved = before.select("id", F.lit(other).alias("processing_date"))
+    small_lake.save("known_users", moved, "append")  # as far as a broken run came
+    stored = run_all(small_lake, users.limit(0), ctx, [day])
+    known = spark.table(table)
+    assert known.count() == known.select("id").distinct().count() == stored["fact_data_quality_metrics"].first().unique_users
+    assert {r[0] for r in known.select("processing_date").distinct().collect()} == {other}
+
+
 def test_a_batch_run_reads_only_its_partition(spark, ctx, raw, tmp_path):
     path = f"{tmp_path}/users"
     users_transformed(raw, ctx).write.partitionBy("processing_date").parquet(path)

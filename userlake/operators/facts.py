@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from userlake.context import RunContext
 from userlake.functions import scoring
 from userlake.functions.measures import rows, share, tally, tally_value
-from userlake.operators.ranking import with_row_number
+from userlake.operators.ranking import falling, with_range_number, with_row_number
 
 
 def with_batch_total(fact: DataFrame, name: str) -> DataFrame:
@@ -75,12 +74,14 @@ def geographic_analysis(users: DataFrame, ctx: RunContext) -> DataFrame:
     """Country and city rows, each kind ranked by users within its batch.
 
     The kinds are ranked before the union, so a filter on `analysis_type`
-    removes the other branch from the plan. Countries are few and take a plain
-    window over one row per country; cities are free text and take the ranking
-    that needs no group in one task.
+    removes the other branch from the plan. Both are free text, so neither
+    numbers a batch in one task; ties go by name among countries and by a hash
+    of the name among cities.
     """
-    by_count = W.partitionBy("processing_date").orderBy(F.desc("user_count"), "geographic_level")
-    countries = country_stats(users).withColumn("user_count_rank", F.row_number().over(by_count))
+    countries = with_range_number(
+        country_stats(users), "user_count_rank",
+        group=["processing_date"], order=[*falling(F.col("user_count")), F.col("geographic_level")],
+    )
     cities = with_row_number(
         city_stats(users), "user_count_rank",
         group=["processing_date"], order="user_count", ties=["geographic_level"],
@@ -150,8 +151,14 @@ def email_provider_analysis(users: DataFrame, ctx: RunContext) -> DataFrame:
     )
 
 
-def data_quality_metrics(users: DataFrame, ctx: RunContext) -> DataFrame:
-    """One row over all batches, dated `ctx.as_of`."""
+# Columns of the daily quality figures that add up over days.
+_ADDED = [
+    "total_records", "excellent_quality", "good_quality", "fair_quality", "poor_quality", "very_poor_quality",
+    "valid_emails", "valid_phones", "records_with_issues",
+]
+
+
+def _quality_figures() -> dict[str, Column]:
     score = F.col("data_quality_score")
     bands = {
         "excellent_quality": score >= 90,
@@ -160,19 +167,25 @@ def data_quality_metrics(users: DataFrame, ctx: RunContext) -> DataFrame:
         "poor_quality": score.between(50, 69),
         "very_poor_quality": score < 50,
     }
-    overall = users.agg(
-        rows().alias("total_records"),
-        *[tally(condition).alias(band) for band, condition in bands.items()],
-        F.avg(score).alias("avg_quality_score"),
-        F.min(score).alias("min_quality_score"),
-        F.max(score).alias("max_quality_score"),
-        tally(F.col("email_valid")).alias("valid_emails"),
-        tally(F.col("phone_valid")).alias("valid_phones"),
-        F.countDistinct("id").alias("unique_users"),
-        tally(F.size("quality_issues") > 0).alias("records_with_issues"),
-    )
+    return {
+        "total_records": rows(),
+        **{band: tally(condition) for band, condition in bands.items()},
+        "min_quality_score": F.min(score),
+        "max_quality_score": F.max(score),
+        "valid_emails": tally(F.col("email_valid")),
+        "valid_phones": tally(F.col("phone_valid")),
+        "records_with_issues": tally(F.size("quality_issues") > 0),
+    }
+
+
+def _quality_row(overall: DataFrame, ctx: RunContext) -> DataFrame:
+    """The columns of the table from one row of totals."""
     everyone = F.col("total_records")
-    return overall.withColumns(
+    return overall.select(
+        "total_records", "excellent_quality", "good_quality", "fair_quality", "poor_quality", "very_poor_quality",
+        "avg_quality_score", "min_quality_score", "max_quality_score", "valid_emails", "valid_phones", "unique_users",
+        "records_with_issues",
+    ).withColumns(
         {
             "processing_date": ctx.today(),
             "excellent_quality_percentage": share(F.col("excellent_quality"), everyone),
@@ -185,6 +198,37 @@ def data_quality_metrics(users: DataFrame, ctx: RunContext) -> DataFrame:
     )
 
 
+def data_quality_metrics(users: DataFrame, ctx: RunContext) -> DataFrame:
+    """One row over all batches, dated `ctx.as_of`."""
+    overall = users.agg(
+        *[figure.alias(name) for name, figure in _quality_figures().items()],
+        F.avg("data_quality_score").alias("avg_quality_score"),
+        F.countDistinct("id").alias("unique_users"),
+    )
+    return _quality_row(overall, ctx)
+
+
+def daily_quality_figures(users: DataFrame) -> DataFrame:
+    """The figures of each batch from which `quality_metrics_of_days` makes the row over all batches."""
+    return users.groupBy("processing_date").agg(
+        *[figure.alias(name) for name, figure in _quality_figures().items()],
+        F.sum("data_quality_score").alias("score_total"),
+        F.count("data_quality_score").alias("scored"),
+    )
+
+
+def quality_metrics_of_days(days: DataFrame, known_users: DataFrame, ctx: RunContext) -> DataFrame:
+    """The row of `data_quality_metrics` from daily figures and from the distinct users, one row each."""
+    overall = days.agg(
+        F.coalesce(F.sum("total_records"), F.lit(0)).alias("total_records"),
+        *[F.sum(name).alias(name) for name in _ADDED[1:]],
+        F.try_divide(F.sum("score_total"), F.sum("scored")).alias("avg_quality_score"),
+        F.min("min_quality_score").alias("min_quality_score"),
+        F.max("max_quality_score").alias("max_quality_score"),
+    )
+    return _quality_row(overall.withColumn("unique_users", known_users.select(rows()).scalar()), ctx)
+
+
 def quality_by_segment(users: DataFrame, ctx: RunContext) -> DataFrame:
     segments = users.groupBy("age_group", "generation", "processing_date").agg(
         rows().alias("segment_total"),

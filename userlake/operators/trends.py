@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from userlake.context import RunContext
 from userlake.functions import scoring
 from userlake.functions.measures import rows, share, tally, tally_value
 from userlake.operators.facts import with_batch_total
+from userlake.operators.ranking import falling, with_range_number
 
 # Day names by number (1 = Sunday); a missing date counts as the last one.
 DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
@@ -126,15 +131,12 @@ def geographic_expansion(users: DataFrame, ctx: RunContext) -> DataFrame:
     shared = with_batch_total(rated, "total_users_global").withColumn(
         "market_share_percentage", share(F.col("user_count"), F.col("total_users_global"))
     )
-    # One row per country and batch, so a window holds the country names of one batch.
-    by_count = W.partitionBy("processing_date").orderBy(F.desc("user_count"), "country")
-    by_rate = W.partitionBy("processing_date").orderBy(F.desc("user_acquisition_rate"), "country")
-    return shared.withColumns(
-        {
-            "user_count_rank": F.row_number().over(by_count),
-            "expansion_rate_rank": F.row_number().over(by_rate),
-        }
-    ).withColumns(
+    # Country texts are free, so a batch is numbered in ranges, not in one task.
+    ranked = shared
+    for rank, value in {"user_count_rank": "user_count", "expansion_rate_rank": "user_acquisition_rate"}.items():
+        order = [*falling(F.col(value)), F.col("country")]
+        ranked = with_range_number(ranked, rank, group=["processing_date"], order=order)
+    return ranked.withColumns(
         {
             "expansion_category": scoring.expansion_category(F.col("user_count_rank")),
             "created_at": ctx.timestamp(),
@@ -180,7 +182,16 @@ def age_demographic_trends(users: DataFrame, ctx: RunContext) -> DataFrame:
     )
 
 
-def data_quality_trends(users: DataFrame, ctx: RunContext) -> DataFrame:
+# Columns of a batch by itself; the others of the quality trend compare it with the batch before.
+DAILY_QUALITY = [
+    "processing_date", "total_records", "avg_quality_score",
+    "excellent_quality_count", "good_quality_count", "fair_quality_count", "poor_quality_count",
+    "valid_emails", "valid_phones",
+    "excellent_quality_percentage", "good_quality_percentage", "email_validity_percentage", "phone_validity_percentage",
+]
+
+
+def daily_quality(users: DataFrame) -> DataFrame:
     score = F.col("data_quality_score")
     bands = {
         "excellent_quality_count": score >= 90,
@@ -196,24 +207,61 @@ def data_quality_trends(users: DataFrame, ctx: RunContext) -> DataFrame:
         tally(F.col("phone_valid")).alias("valid_phones"),
     )
     everyone = F.col("total_records")
-    now, before = F.col("avg_quality_score"), F.col("previous_avg_quality")
-    # One row per batch in all, so this unpartitioned window is as long as the history.
-    history = W.orderBy("processing_date")
     return daily.withColumns(
         {
             "excellent_quality_percentage": share(F.col("excellent_quality_count"), everyone),
             "good_quality_percentage": share(F.col("good_quality_count"), everyone),
             "email_validity_percentage": share(F.col("valid_emails"), everyone),
             "phone_validity_percentage": share(F.col("valid_phones"), everyone),
-            "previous_avg_quality": F.lag("avg_quality_score").over(history),
         }
-    ).withColumns(
+    )
+
+
+def _with_change(daily: DataFrame, ctx: RunContext) -> DataFrame:
+    """Daily rows that know `previous_avg_quality`, with what follows from it."""
+    now, before = F.col("avg_quality_score"), F.col("previous_avg_quality")
+    return daily.select(
+        *DAILY_QUALITY,
+        "previous_avg_quality",
+        F.when(before.isNull(), "Baseline")
+        .when(now > before + 1, "Improving")
+        .when(now < before - 1, "Declining")
+        .otherwise("Stable")
+        .alias("quality_trend"),
+        F.coalesce(F.round(now - before, 2), F.lit(0.0)).alias("quality_change"),
+        ctx.timestamp().alias("created_at"),
+    )
+
+
+def _history() -> WindowSpec:
+    """One row per batch in all, so this unpartitioned window is as long as the history."""
+    return W.orderBy("processing_date")
+
+
+def data_quality_trends(users: DataFrame, ctx: RunContext) -> DataFrame:
+    """Each batch against the one before."""
+    before = F.lag("avg_quality_score").over(_history())
+    return _with_change(daily_quality(users).withColumn("previous_avg_quality", before), ctx)
+
+
+def quality_trends_of_dates(stored: DataFrame, fresh: DataFrame, dates: Sequence[date], ctx: RunContext) -> DataFrame:
+    """The rows of the quality trend that change when `dates` are made anew.
+
+    `fresh` are the daily rows of those dates, `stored` the rows kept so far.
+    A stored row says all about its own batch, so no user of another date is
+    read: changed are the rows of the dates and the row after each of them,
+    also where a date has become empty.
+    """
+    kept = stored.where(~F.col("processing_date").isin(list(dates))).select(*DAILY_QUALITY)
+    chain = kept.unionByName(fresh.select(*DAILY_QUALITY)).withColumns(
         {
-            "quality_trend": F.when(before.isNull(), "Baseline")
-            .when(now > before + 1, "Improving")
-            .when(now < before - 1, "Declining")
-            .otherwise("Stable"),
-            "quality_change": F.coalesce(F.round(now - before, 2), F.lit(0.0)),
-            "created_at": ctx.timestamp(),
+            "previous_avg_quality": F.lag("avg_quality_score").over(_history()),
+            "_before": F.lag("processing_date").over(_history()),
         }
     )
+    made = F.array(*[F.lit(d) for d in dates])
+    changed = F.exists(
+        made,
+        lambda d: (d <= F.col("processing_date")) & (F.col("_before").isNull() | (d >= F.col("_before"))),
+    )
+    return _with_change(chain.where(changed), ctx)

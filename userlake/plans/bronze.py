@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from userlake.functions.enrichment import age_group, source_date
 from userlake.functions.measures import down, rows, share, up
-from userlake.operators.summaries import row_total
+from userlake.operators.tallies import TOTAL, Kind, tallies
 from userlake.plans.naming import collector
 
 if TYPE_CHECKING:
@@ -39,15 +39,17 @@ def gender_from_analytics(t: Tables) -> DataFrame:
     )
 
 
+def _counts_and_shares(t: Tables, kind: Kind) -> DataFrame:
+    """The values of one kind among raw users, their counts and their shares of all users."""
+    counted = tallies(t["raw_users"], [kind]).where(F.col("kind") != TOTAL)
+    return counted.select(
+        F.col("value").alias(kind.name), F.col("n").alias("count"), share(F.col("n"), F.col("total")).alias("percentage")
+    )
+
+
 @check
 def gender_from_raw(t: Tables) -> DataFrame:
-    raw = t["raw_users"]
-    return (
-        raw.groupBy("gender")
-        .agg(rows().alias("count"))
-        .withColumn("percentage", share(F.col("count"), row_total(raw)))
-        .orderBy(down("count"))
-    )
+    return _counts_and_shares(t, Kind("gender", F.col("gender"))).orderBy(down("count"))
 
 
 def _top_locations(t: Tables, level: str, limit: int) -> DataFrame:
@@ -87,15 +89,8 @@ def domains_from_analytics(t: Tables) -> DataFrame:
 @check
 def domains_from_raw_10(t: Tables) -> DataFrame:
     """Text after the first @; an address without one counts under the empty domain."""
-    raw = t["raw_users"]
-    domain = F.split_part("email", F.lit("@"), F.lit(2))
-    return (
-        raw.groupBy(domain.alias("email_domain"))
-        .agg(rows().alias("count"))
-        .withColumn("percentage", share(F.col("count"), row_total(raw)))
-        .orderBy(down("count"), up("email_domain"))
-        .limit(10)
-    )
+    domain = Kind("email_domain", F.split_part("email", F.lit("@"), F.lit(2)))
+    return _counts_and_shares(t, domain).orderBy(down("count"), up("email_domain")).limit(10)
 
 
 @check

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from userlake.functions.measures import down, label_above, label_below, rows, share, steady_avg, up
 from userlake.plans.naming import collector
-from userlake.plans.pairing import few_rows, row_or_null
+from userlake.plans.pairing import beside_every, few_rows, row_or_null
 
 if TYPE_CHECKING:
     from userlake.tables import Tables
@@ -407,19 +407,17 @@ def demographics_x_expansion(t: Tables) -> DataFrame:
 @check
 def penetration_x_days(t: Tables) -> DataFrame:
     """Every expansion category and batch beside the three most popular weekdays."""
-    popular = t.unordered("vw_registration_day_patterns").filter("popularity_rank <= 3")
-    days = few_rows(popular, "day_name", "registrations", "percentage_of_weekly_registrations")
+    days = (
+        t.unordered("vw_registration_day_patterns")
+        .filter("popularity_rank <= 3")
+        .select("day_name", F.col("registrations").alias("day_registrations"), "percentage_of_weekly_registrations")
+    )
+    categories = t.unordered("vw_market_penetration_analysis").select(
+        "expansion_category", F.col("country_count").alias("countries_in_category"), "total_users", "processing_date"
+    )
     return (
-        t.unordered("vw_market_penetration_analysis")
-        .withColumn("day", F.explode(days))
-        .select(
-            "expansion_category",
-            F.col("country_count").alias("countries_in_category"),
-            "total_users",
-            F.col("day.day_name").alias("day_name"),
-            F.col("day.registrations").alias("day_registrations"),
-            F.col("day.percentage_of_weekly_registrations").alias("percentage_of_weekly_registrations"),
-        )
+        beside_every(categories, days)
+        .drop("processing_date")
         .orderBy(down("total_users"), down("percentage_of_weekly_registrations"))
     )
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from userlake.functions.measures import (
     down, label_above, label_below, label_from, label_of, label_up_to, rows, share, steady_avg, tally, up,
 )
-from userlake.functions.scoring import quality_tier
+from userlake.functions.scoring import demographic_score, quality_tier, target_segment
+from userlake.operators.ranking import rising, with_range_number
 from userlake.plans.naming import ordered_collector
 
 if TYPE_CHECKING:
@@ -309,19 +310,28 @@ def vw_data_enrichment_impact(t: Tables) -> DataFrame:
 
 @view()
 def vw_executive_summary(t: Tables) -> DataFrame:
-    def value(name: str, figure: Column) -> Column:
-        return t.unordered(name).select(figure).scalar()
-
-    return t["users_transformed"].agg(rows().alias("total_users")).withColumns(
-        {
-            "target_segments": value("vw_target_segment_distribution", F.countDistinct("target_segment")),
-            "geographic_levels": value("vw_geographic_diversity", F.countDistinct("analysis_type")),
-            "overall_quality_score": value(
-                "fact_data_quality_metrics", F.round(steady_avg(F.col("avg_quality_score")), 2)
-            ),
-            "email_provider_types": value("vw_email_provider_market_share", rows()),
-            "report_generated_at": t.ctx.timestamp(),
-        }
+    """Figures over all batches, from one row per batch.
+
+    What the segment, location and provider tables hold follows from the
+    labels of each batch's users, which are few by definition, so the users are
+    read once for all of them.
+    """
+    daily = t["users_transformed"].groupBy("processing_date").agg(
+        rows().alias("users"),
+        F.collect_set(target_segment(demographic_score())).alias("segments"),
+        F.collect_set("email_provider_type").alias("providers"),
+    )
+    total = F.coalesce(F.sum("users"), F.lit(0))
+    quality = t.unordered("fact_data_quality_metrics").select(F.round(steady_avg(F.col("avg_quality_score")), 2)).scalar()
+    return daily.agg(
+        total.alias("total_users"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("segments")))).cast("bigint").alias("target_segments"),
+        # Users have a country row and a city row, whatever their address.
+        F.when(total > 0, 2).otherwise(0).cast("bigint").alias("geographic_levels"),
+        F.coalesce(F.sum(F.size("providers")), F.lit(0)).cast("bigint").alias("email_provider_types"),
+    ).select(
+        "total_users", "target_segments", "geographic_levels", quality.alias("overall_quality_score"),
+        "email_provider_types", t.ctx.timestamp().alias("report_generated_at"),
     )
 
 
@@ -414,18 +424,15 @@ def vw_market_penetration_analysis(t: Tables) -> DataFrame:
 
 @view("first_user_date", "country_rank_in_year")
 def vw_country_expansion_timeline(t: Tables) -> DataFrame:
-    # One row per country and batch, so a window holds the countries first seen in one year.
-    entries = W.partitionBy(F.year("first_user_date")).orderBy(up("first_user_date"), "country", "processing_date")
-    return (
-        t["fact_geographic_expansion"]
-        .select(
-            "country", "first_user_date", "user_count", "user_acquisition_rate", "expansion_category",
-            F.year("first_user_date").alias("expansion_year"),
-            F.month("first_user_date").alias("expansion_month"),
-            F.row_number().over(entries).alias("country_rank_in_year"),
-            "processing_date",
-        )
+    dated = t["fact_geographic_expansion"].select(
+        "country", "first_user_date", "user_count", "user_acquisition_rate", "expansion_category",
+        F.year("first_user_date").alias("expansion_year"),
+        F.month("first_user_date").alias("expansion_month"),
+        "processing_date",
     )
+    # A year holds the countries of all batches, so it is numbered in ranges, not in one task.
+    order = [*rising(F.col("first_user_date")), F.col("country"), F.col("processing_date")]
+    return with_range_number(dated, "country_rank_in_year", group=["expansion_year"], order=order)
 
 
 # --- age trends ------------------------------------------------------------

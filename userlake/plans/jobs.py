@@ -6,14 +6,14 @@ from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from userlake.context import RunContext
 from userlake.operators.users import users_transformed
+from userlake.plans.upkeep import BATCH_DATE, keep_quality_metrics, keep_quality_trends, of_dates
 from userlake.sources.sinks import empty_partition, save_table
-from userlake.tables import INGEST_SUMMARIES, PARTITIONS, RAW, SILVER, USERS, Tables, tables_from_store
-
-BATCH_DATE = "processing_date"
+from userlake.tables import (
+    DAILY_FIGURES, INGEST_SUMMARIES, PARTITIONS, RAW, SILVER, USERS, Tables, tables_from_store,
+)
 
 AGGREGATES = [
     "dim_user_demographics", "fact_geographic_analysis", "fact_age_generation_analysis",
@@ -22,10 +22,12 @@ AGGREGATES = [
 ]
 # Tables whose rows depend on their own batch only.
 PER_BATCH = {
-    "fact_geographic_analysis", "fact_age_generation_analysis", "fact_email_provider_analysis",
+    "dim_user_demographics", "fact_geographic_analysis", "fact_age_generation_analysis", "fact_email_provider_analysis",
     "fact_email_domain_analysis", "fact_quality_by_segment", "fact_registration_trends",
     "fact_geographic_expansion", "fact_age_demographic_trends",
 }
+# Tables over all batches that are brought up to date from the run's dates.
+UPKEEP = {"fact_data_quality_metrics": keep_quality_metrics, "fact_data_quality_trends": keep_quality_trends}
 TIME_SERIES = [
     "fact_registration_trends", "fact_geographic_expansion", "fact_age_demographic_trends",
     "fact_data_quality_trends", "fact_registration_anomalies", "fact_quality_anomalies",
@@ -58,9 +60,9 @@ def ingest_job(lake: Lake, raw: DataFrame, ctx: RunContext) -> None:
 
 def clean_job(lake: Lake, ctx: RunContext, batches: Sequence[date] | None = None) -> None:
     """Clean the raw users of the run's dates; earlier ones stay in the table. The quality summary is that of the run."""
-    raw = _of_dates(lake.tables(ctx)[RAW], batches)
+    raw = of_dates(lake.tables(ctx)[RAW], batches)
     lake.save("users_transformed", users_transformed(raw, ctx), "overwrite")
-    users = _of_dates(lake.tables(ctx)[USERS], batches)
+    users = of_dates(lake.tables(ctx)[USERS], batches)
     lake.save("data_quality_summary", SILVER["data_quality_summary"](Tables({USERS: lambda _: users}, ctx)), "overwrite")
 
 
@@ -95,15 +97,11 @@ def run_all(
     return lake.tables(ctx)
 
 
-def _of_dates(df: DataFrame, batches: Sequence[date] | None) -> DataFrame:
-    return df if batches is None else df.filter(F.col(BATCH_DATE).isin(list(batches)))
-
-
 def _empty(lake: Lake, dates: set[date]) -> None:
     """Take the rows of dates out of every stored table that is kept by date."""
-    for name in [RAW, *SILVER]:
+    for name in [RAW, *SILVER, DAILY_FIGURES]:
         table = f"{lake.database}.{name}"
-        if PARTITIONS[name] == [BATCH_DATE] and name != "data_quality_summary" and lake.spark.catalog.tableExists(table):
+        if name not in ("data_quality_summary", "fact_data_quality_metrics") and lake.spark.catalog.tableExists(table):
             for day in sorted(dates):
                 empty_partition(lake.spark, table, BATCH_DATE, day)
 
@@ -114,8 +112,10 @@ def _fill(
     """Write tables from the stored ones they read, so no table is derived twice."""
     recent = stored
     if batches is not None:
-        users = _of_dates(stored[USERS], batches)
+        users = of_dates(stored[USERS], batches)
         recent = Tables({USERS: lambda _: users}, stored.ctx)
     for name in names:
-        mode = "merge" if name.startswith("dim_") else "overwrite"
-        lake.save(name, SILVER[name](recent if name in PER_BATCH else stored), mode)
+        if name in UPKEEP:
+            UPKEEP[name](lake, name, stored.ctx, batches)
+        else:
+            lake.save(name, SILVER[name](recent if name in PER_BATCH else stored), "overwrite")

@@ -18,3 +18,19 @@ def few_rows(rows: DataFrame, *columns: str) -> Column:
     for rows that grow with the users.
     """
     return rows.select(F.collect_list(F.struct(*columns))).scalar()
+
+
+# Lots into which rows are dealt that meet every row of another table.
+LOTS = 16
+
+
+def beside_every(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Each row of `left` beside each row of `right`, as an equality join.
+
+    `left` is dealt to lots by a hash and `right` is copied to every lot, so
+    that the pairs spread over tasks; whether a side is broadcast is left to
+    its size, and nothing passes the driver.
+    """
+    dealt = left.withColumn("_lot", F.pmod(F.xxhash64(*left.columns), F.lit(LOTS)).cast("int"))
+    copied = right.withColumn("_lot", F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1))))
+    return dealt.join(copied, "_lot").drop("_lot")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,6 +99,146 @@ def conform_to_schema(df: DataFrame, declared: StructType) -> DataFrame:
     )
 
 
+def _columns_frame(spark: SparkSession, columns: list[tuple[str, str, str, bool]], kind: str) -> DataFrame:
+    schema = f"table_name string, column_name string, {kind}_type string, {kind}_partition boolean"
+    return spark.createDataFrame(columns, schema)
+
+
+def declared_columns(spark: SparkSession, document: Document) -> DataFrame:
+    """Columns of a document as rows."""
+    columns = [
+        (name, c["name"], StructType.fromDDL(f"c {c['type']}")[0].dataType.simpleString(), c["name"] in table.get("partitions", []))
+        for name, table in document["tables"].items()
+        for c in table["columns"]
+    ]
+    return _columns_frame(spark, columns, "declared")
+
+
+def stored_columns(spark: SparkSession, database: str, names: Iterable[str]) -> DataFrame:
+    """Columns of stored tables as rows, from the catalog."""
+    columns = [
+        (name, c.name, StructType.fromDDL(f"c {c.dataType}")[0].dataType.simpleString(), c.isPartition)
+        for name in names
+        if spark.catalog.tableExists(f"{database}.{name}")
+        for c in spark.catalog.listColumns(f"{database}.{name}")
+    ]
+    return _columns_frame(spark, columns, "stored")
+
+
+def conformance_rows(spark: SparkSession, document: Document, database: str) -> DataFrame:
+    """Each difference between a document and the stored tables, and what the stored values make of it.
+
+    A row has table and column, both types, the difference ('missing',
+    'undeclared', 'type', 'partition'), and for a type the number of `filled`
+    values and of those that are `unfit`, that is lost by a cast to the declared
+    type. A table is read once, its differing columns only.
+    """
+    declared = declared_columns(spark, document)
+    stored = stored_columns(spark, database, document["tables"])
+    difference = (
+        F.when(F.col("stored_type").isNull(), "missing")
+        .when(F.col("declared_type").isNull(), "undeclared")
+        .when(F.col("declared_type") != F.col("stored_type"), "type")
+        .when(F.col("declared_partition") != F.col("stored_partition"), "partition")
+    )
+    compared = declared.join(stored, ["table_name", "column_name"], "full")
+    differing = compared.withColumn("difference", difference).where(F.col("difference").isNotNull())
+    retyped: dict[str, list[tuple[str, str]]] = {}
+    for row in differing.where(F.col("difference") == "type").collect():  # columns of declared tables
+        retyped.setdefault(row["table_name"], []).append((row["column_name"], row["declared_type"]))
+    counts = spark.createDataFrame([], "table_name string, column_name string, filled bigint, unfit bigint")
+    for name, columns in sorted(retyped.items()):
+        figures = []
+        for column, kind in columns:
+            value = F.col(f"`{column}`")
+            lost = F.count_if(value.isNotNull() & value.try_cast(kind).isNull())
+            figures.append(F.struct(F.lit(column).alias("column_name"), F.count(value).alias("filled"), lost.alias("unfit")))
+        counted = spark.table(f"{database}.{name}").agg(F.array(*figures).alias("figures"))
+        counts = counts.unionByName(counted.select(F.lit(name).alias("table_name"), F.inline("figures")))
+    return differing.join(counts, ["table_name", "column_name"], "left").select(
+        "table_name", "column_name", "declared_type", "stored_type", "difference", "filled", "unfit"
+    )
+
+
+# Types that hold every value of the type before.
+_WIDER = {
+    "tinyint": {"smallint", "int", "bigint", "float", "double"},
+    "smallint": {"int", "bigint", "float", "double"},
+    "int": {"bigint", "double"},
+    "float": {"double"},
+    "date": {"timestamp"},
+}
+
+
+def widens(stored: str, declared: str) -> bool:
+    """Whether every value of one type has a place in the other; text takes any."""
+    return declared == "string" or declared in _WIDER.get(stored, set())
+
+
+@dataclass(frozen=True)
+class TypeChange:
+    table: str
+    column: str
+    stored: str
+    declared: str
+    widened: bool
+
+
+def evolve_tables(spark: SparkSession, document: Document, database: str, root: str) -> list[TypeChange]:
+    """Bring the column types of stored tables to those declared.
+
+    Wider types are taken: the table is written anew under `root` in the
+    declared types, order and partitions, and then takes the other's place. A
+    type that could lose values is reported and the column stays as it is.
+    """
+    changes: list[TypeChange] = []
+    for name, table in document["tables"].items():
+        full_name = f"{database}.{name}"
+        _finish_swap(spark, full_name)
+        if not spark.catalog.tableExists(full_name):
+            continue
+        have = {f.name: f.dataType for f in spark.table(full_name).schema}
+        declared = declared_schema(table)
+        found = [
+            TypeChange(full_name, f.name, have[f.name].simpleString(), f.dataType.simpleString(),
+                       widens(have[f.name].simpleString(), f.dataType.simpleString()))
+            for f in declared
+            if f.name in have and have[f.name] != f.dataType
+        ]
+        changes += found
+        if any(change.widened for change in found):
+            refused = {c.column for c in found if not c.widened}
+            undeclared = [StructField(n, t) for n, t in have.items() if n not in declared.fieldNames()]
+            kept = [StructField(f.name, have[f.name] if f.name in refused else f.dataType) for f in declared]
+            partitions = table.get("partitions", [])
+            target = StructType(
+                [f for f in kept if f.name not in partitions] + undeclared + [f for f in kept if f.name in partitions]
+            )
+            _rewrite(spark, full_name, target, partitions, f"{root}/{name}-{uuid.uuid4().hex}")
+    return changes
+
+
+def _rewrite(spark: SparkSession, full_name: str, target: StructType, partitions: Sequence[str], path: str) -> None:
+    """Write a table in another schema to a new folder, then let it take the name."""
+    staged = f"{full_name}__staged"
+    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in target)
+    by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+    spark.sql(f"CREATE TABLE {staged} ({columns}) USING parquet {by} LOCATION '{path}'")
+    conform_to_schema(spark.table(full_name), target).write.insertInto(staged, overwrite=True)
+    spark.sql(f"ALTER TABLE {full_name} RENAME TO {full_name}__replaced")
+    _finish_swap(spark, full_name)
+
+
+def _finish_swap(spark: SparkSession, full_name: str) -> None:
+    """Complete a swap, also one that a lost driver has left half done: only a whole copy gives the old table its other name."""
+    replaced, staged = f"{full_name}__replaced", f"{full_name}__staged"
+    if spark.catalog.tableExists(replaced):
+        if not spark.catalog.tableExists(full_name):
+            spark.sql(f"ALTER TABLE {staged} RENAME TO {full_name}")
+        spark.sql(f"DROP TABLE {replaced}")
+
+
 def register_views(tables: Mapping[str, DataFrame], names: Iterable[str]) -> None:
     """Make tables readable by SQL under their names."""
     for name in names:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
@@ -20,3 +20,10 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="userlake-")
     return f"{shared.rstrip('/')}/userlake/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored_rows(df: DataFrame, purpose: str) -> DataFrame:
+    """Write rows to a scratch folder and read them back: made once, whatever reads them."""
+    path = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

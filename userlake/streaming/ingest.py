@@ -1,4 +1,4 @@
-"""New JSON user records -> raw table and summaries, each record once."""
+"""New JSON user records -> raw table and summaries, each file and each user id once."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from userlake.context import RunContext
 from userlake.operators import summaries
@@ -31,6 +32,21 @@ def stream_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     return reader.option("startingOffsets", "earliest").load()
 
 
+def new_records(batch: DataFrame, earlier: DataFrame | None, key: str = "id") -> DataFrame:
+    """The records of a batch whose key no earlier batch has, one for each key.
+
+    Of records with one key the smallest by its columns stays, so that a
+    repeated batch gives the same rows. Records whose key is null or empty are
+    all kept; the cleaning rules mark them.
+    """
+    keyed = F.coalesce(F.col(key) != "", F.lit(False))
+    whole = F.struct(*[F.col(c) for c in batch.columns])
+    one_each = batch.where(keyed).groupBy(key).agg(F.min(whole).alias("_record")).select("_record.*")
+    if earlier is not None:
+        one_each = one_each.join(earlier.select(key), key, "left_anti").select(*batch.columns)
+    return one_each.unionByName(batch.where(~keyed))
+
+
 def ingest_available(
     messages: DataFrame,
     raw_path: str,
@@ -39,15 +55,20 @@ def ingest_available(
 ) -> StreamingQuery:
     """Append what has arrived since the last run to the raw folder, then stop.
 
-    Each micro-batch owns one partition folder and overwrites it, so a batch
-    that is repeated after a failure replaces its own half-written rows.
+    A user id that an earlier batch brought is not added again. Each
+    micro-batch owns one partition folder and overwrites it, so a batch that is
+    repeated after a failure replaces its own half-written rows.
     `after_batch` gets the stored users of a batch and its number; it too may be
     called again for the same number and should then replace what it wrote.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        earlier = None
+        if batch_id > 0:
+            kept = StructType([*batch.schema, StructField(BATCH, IntegerType())])
+            earlier = batch.sparkSession.read.schema(kept).parquet(raw_path).where(F.col(BATCH) < batch_id)
         (
-            batch.withColumn(BATCH, F.lit(batch_id))
+            new_records(batch, earlier).withColumn(BATCH, F.lit(batch_id))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", "snappy")

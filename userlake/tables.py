@@ -85,10 +85,12 @@ SILVER: dict[str, Builder] = {
     "fact_quality_anomalies": quality_anomalies,
 }
 
-# Partition columns on disk; the other silver tables are small and stay whole.
-PARTITIONS: dict[str, list[str]] = {
-    name: ["target_segment"] if name == "dim_user_demographics" else ["processing_date"] for name in [RAW, *SILVER]
-}
+# What the jobs keep besides: the quality figures of each batch, and each user id under the batch it is counted in.
+DAILY_FIGURES = "daily_quality_figures"
+KNOWN_USERS = "known_users"
+
+# Partition columns on disk: each run replaces the partitions of its own dates.
+PARTITIONS: dict[str, list[str]] = {name: ["processing_date"] for name in [RAW, *SILVER, DAILY_FIGURES, KNOWN_USERS]}
 
 READERS: dict[str, Builder] = {**gold.VIEWS, **checks.CHECKS, **bronze.CHECKS, **reports.REPORTS}
 

@@ -554,12 +554,44 @@ SQL |= {
             "sink_table_fallback",
         ]
     },
+    "conformance_rows": """
+SELECT t AS table_name, c AS column_name, d AS declared_type, s AS stored_type, 'type' AS difference, n AS filled,
+  0::BIGINT AS unfit
+FROM (
+  SELECT 'users_transformed', 'data_quality_score', 'double', 'int', count(data_quality_score) FROM u
+  UNION ALL SELECT 'users_transformed', 'quality_issues', 'string', 'array<string>', count(*) FROM u
+  UNION ALL SELECT 'dim_user_demographics', 'data_quality_score', 'double', 'int', count(data_quality_score) FROM dim
+  UNION ALL SELECT 'dim_user_demographics', 'demographic_score', 'double', 'int', count(demographic_score) FROM dim
+  UNION ALL SELECT 'fact_age_generation_analysis', 'engagement_score', 'double', 'int', count(engagement_score) FROM agegen
+  UNION ALL SELECT 'fact_data_quality_metrics', 'min_quality_score', 'double', 'int', count(min_quality_score) FROM dq
+  UNION ALL SELECT 'fact_data_quality_metrics', 'max_quality_score', 'double', 'int', count(max_quality_score) FROM dq
+) found(t, c, d, s, n)
+UNION ALL SELECT 'dim_user_demographics', c, p, p, 'partition', NULL, NULL
+FROM (VALUES ('target_segment', 'string'), ('processing_date', 'date')) moved(c, p)""",
+    "evolve_declared_types": """
+SELECT * REPLACE (
+  CAST(data_quality_score AS DOUBLE) AS data_quality_score,
+  '[' || replace(quality_issues, '|', ', ') || ']' AS quality_issues
+) FROM u""",
+    # Records without an id are kept as often as they come: early ones four times, the others twice.
+    "ingest_repeated_records": """
+SELECT * EXCLUDE (processing_date) FROM u
+UNION ALL SELECT * EXCLUDE (processing_date, again) FROM (
+  SELECT *, unnest(range(CASE WHEN processing_date < '2024-10-05' THEN 3 ELSE 1 END)) AS again FROM u
+  WHERE id IS NULL OR id = ''
+)""",
+    # Each run makes its quality summary and the row of distinct users under its last date.
     "daily_runs": """
 SELECT layer, processing_date AS batch, count(*) AS records
-FROM raw, (VALUES ('raw'), ('users'), ('quality summary'), ('facts')) AS layers(layer)
-WHERE processing_date IN ('2024-10-01', '2024-10-02', '2024-10-03') GROUP BY ALL
-UNION ALL SELECT 'analytics', NULL, count(*) FROM raw
-WHERE processing_date IN ('2024-10-01', '2024-10-02', '2024-10-03')""",
+FROM raw, (VALUES ('raw'), ('users'), ('facts'), ('quality trend')) AS layers(layer) GROUP BY ALL
+UNION ALL SELECT 'dimension', processing_date, count(DISTINCT id) FROM raw GROUP BY ALL
+UNION ALL SELECT 'quality baselines', min(processing_date), 1 FROM raw
+UNION ALL SELECT 'quality summary', last, (SELECT count(*) FROM raw WHERE processing_date BETWEEN first AND last)
+FROM (VALUES ('2024-10-05', '2024-10-08'), ('2024-10-09', '2024-10-12'), ('2024-10-01', '2024-10-04')) r(first, last)
+UNION ALL SELECT 'distinct users', '2024-10-08', count(DISTINCT id) FROM raw WHERE processing_date BETWEEN '2024-10-05' AND '2024-10-08'
+UNION ALL SELECT 'distinct users', '2024-10-12', count(DISTINCT id) FROM raw WHERE processing_date BETWEEN '2024-10-05' AND '2024-10-12'
+UNION ALL SELECT 'distinct users', '2024-10-04', count(DISTINCT id) FROM raw
+UNION ALL SELECT 'analytics', NULL, count(*) FROM raw""",
     "sink_json_csv": f"SELECT {RAW12}, unnest(['json', 'csv']) AS file_format FROM raw",
     "ext_table_user_analytics": _all("metrics"),
     "ext_table_user_demographics": _all("places"),

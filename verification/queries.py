@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import lru_cache
@@ -12,11 +13,11 @@ from pyspark.sql.types import ArrayType, DateType, TimestampType
 
 from userlake import RunContext, Tables, tables_from_raw
 from userlake.operators import facts, summaries, trends
-from userlake.operators.users import enrich, validate_and_cleanse
+from userlake.operators.users import enrich, users_transformed, validate_and_cleanse
 from userlake.plans.jobs import Lake, run_all
 from userlake.sources import catalog, records, sinks
 from userlake.sources.fixture import users_of_customers
-from userlake.sources.scratch import scratch_folder
+from userlake.sources.scratch import scratch_folder, stored_rows
 from userlake.streaming import ingest
 from userlake.tables import INGEST_SUMMARIES, READERS, SILVER
 
@@ -252,14 +253,14 @@ def sink_table_fallback(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def daily_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows by layer and batch after three daily runs of the jobs."""
+    """Rows by layer and batch after three runs of the jobs with four of the twelve dates each, the first dates last."""
     raw, path = raw_users(spark, folder), scratch_folder(spark, "daily")
-    days = [date(2024, 10, 1), date(2024, 10, 2), date(2024, 10, 3)]
     lake = Lake(spark, f"daily_{path[-8:]}", path)
     try:
-        for day in days:
-            ctx = RunContext(as_of=day, run_ts=datetime(day.year, day.month, day.day))
-            stored = run_all(lake, raw.filter(F.col("processing_date") == day), ctx, [day])
+        for first in (5, 9, 1):
+            days = [date(2024, 10, day) for day in range(first, first + 4)]
+            ctx = RunContext(as_of=days[-1], run_ts=datetime(2024, 10, first + 3))
+            stored = run_all(lake, raw.filter(F.col("processing_date").isin(days)), ctx, days)
 
         def counted(layer: str, rows: DataFrame, count: Column, by: Column) -> DataFrame:
             return rows.groupBy(by.alias("batch")).agg(count.cast("bigint").alias("records")).select(
@@ -273,6 +274,10 @@ def daily_runs(spark: SparkSession, folder: str) -> DataFrame:
             .unionByName(counted("users", stored["users_transformed"], every, batch))
             .unionByName(counted("quality summary", stored["data_quality_summary"], F.sum("total_records"), batch))
             .unionByName(counted("facts", stored["fact_quality_by_segment"], F.sum("segment_total"), batch))
+            .unionByName(counted("dimension", stored["dim_user_demographics"], F.countDistinct("user_id"), batch))
+            .unionByName(counted("quality trend", stored["fact_data_quality_trends"], F.sum("total_records"), batch))
+            .unionByName(counted("quality baselines", stored["fact_data_quality_trends"].filter("quality_trend = 'Baseline'"), every, batch))
+            .unionByName(counted("distinct users", stored["fact_data_quality_metrics"], F.max("unique_users"), batch))
             .unionByName(counted("analytics", totals, F.sum("metric_value"), F.lit(None).cast("date")))
         )
         out = f"{path}_layers"
@@ -333,6 +338,66 @@ def conform_to_schema(spark: SparkSession, folder: str) -> DataFrame:
     return catalog.conform_to_schema(loose, users.schema)
 
 
+# Where the declared tables say another type or layout than the jobs make.
+DECLARED_TYPES: dict[tuple[str, str], str] = {
+    ("users_transformed", "data_quality_score"): "double",
+    ("users_transformed", "quality_issues"): "string",
+    ("dim_user_demographics", "data_quality_score"): "double",
+    ("dim_user_demographics", "demographic_score"): "double",
+    ("fact_age_generation_analysis", "engagement_score"): "double",
+    ("fact_data_quality_metrics", "min_quality_score"): "double",
+    ("fact_data_quality_metrics", "max_quality_score"): "double",
+}
+DECLARED_PARTITIONS = {"dim_user_demographics": ["target_segment"]}
+
+
+def given_document(spark: SparkSession, names: list[str]) -> catalog.Document:
+    """A document of the declared tables, written as a JSON file and loaded from there."""
+    described = catalog.declared_document(spark, CONTEXT)["tables"]
+    tables = {
+        name: {
+            "columns": [
+                column | {"type": DECLARED_TYPES.get((name, column["name"]), column["type"])}
+                for column in described[name]["columns"]
+            ],
+            "partitions": DECLARED_PARTITIONS.get(name, described[name]["partitions"]),
+        }
+        for name in names
+    }
+    path = scratch_folder(spark, "document")
+    text = json.dumps({"tables": tables})
+    spark.createDataFrame([(text,)], "value string").write.text(path)
+    return catalog.load_document(spark.read.text(path, wholetext=True).first()["value"])
+
+
+def conformance_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Differences between the declared tables and those that the jobs store, with the values concerned."""
+    names = sorted({name for name, _ in DECLARED_TYPES})
+    tables, path = lake(spark, folder), scratch_folder(spark, "conform")
+    stored = Lake(spark, f"conform_{path[-8:]}", path)
+    try:
+        for name in names:
+            stored.save(name, tables[name], "overwrite")
+        found = catalog.conformance_rows(spark, given_document(spark, names), stored.database)
+        return stored_rows(found, "conformance")
+    finally:
+        spark.sql(f"DROP DATABASE {stored.database} CASCADE")
+
+
+def evolve_declared_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Users stored in the types that the job makes, then brought to the declared ones."""
+    tables, path = lake(spark, folder), scratch_folder(spark, "evolve")
+    stored = Lake(spark, f"evolve_{path[-8:]}", path)
+    try:
+        stored.save("users_transformed", tables["users_transformed"], "overwrite")
+        document = given_document(spark, ["users_transformed"])
+        catalog.evolve_tables(spark, document, stored.database, path)
+        users = spark.table(f"{stored.database}.users_transformed").select(*tables["users_transformed"].columns)
+        return stored_rows(users, "evolved")
+    finally:
+        spark.sql(f"DROP DATABASE {stored.database} CASCADE")
+
+
 def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Two drops of files, one run after each: every record arrives once."""
     raw, root = raw_users(spark, folder), scratch_folder(spark, "ingest")
@@ -344,6 +409,18 @@ def incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(target).select(*records.RAW_COLUMNS)
 
 
+def ingest_repeated_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Three drops that repeat each other's records, within a file and across files, taken in and cleaned."""
+    raw, root = raw_users(spark, folder), scratch_folder(spark, "repeats")
+    inbox, target, checkpoint = f"{root}/inbox", f"{root}/raw", f"{root}/checkpoint"
+    early = raw.filter(F.col("processing_date") < "2024-10-05")
+    for drop in (early, raw, raw.unionByName(early)):
+        _json_lines(drop).write.mode("append").text(inbox)
+        ingest.ingest_available(ingest.stream_files(spark, inbox), target, checkpoint).awaitTermination()
+    taken = spark.read.parquet(target).select(*records.RAW_COLUMNS)
+    return users_transformed(taken, CONTEXT).drop("processing_date")
+
+
 def process_user_batch(spark: SparkSession, folder: str) -> DataFrame:
     raw = raw_users(spark, folder)
     done = ingest.process_user_batch(raw, scratch_folder(spark, "batch"), CONTEXT)
@@ -368,7 +445,10 @@ QUERIES |= {
     "register_silver_tables": register_silver_tables,
     "create_tables_from_schema": create_tables_from_schema,
     "conform_to_schema": conform_to_schema,
+    "conformance_rows": conformance_rows,
+    "evolve_declared_types": evolve_declared_types,
     "incremental_ingest": incremental_ingest,
+    "ingest_repeated_records": ingest_repeated_records,
     "process_user_batch": process_user_batch,
 }
 
