@@ -70,3 +70,33 @@ def test_prior_is_always_proper(spark, rates):
     hosts = spark.createDataFrame([(str(i), n, f) for i, (n, f) in enumerate(rates)], "host string, n bigint, failed bigint")
     prior = quality.fit_prior(hosts)
     assert prior.alpha >= 0 and prior.beta >= 0 and prior.alpha + prior.beta > 0
+
+
+def test_hosts_of_one_document_are_shrunk(documents):
+    """One in eight of a thousand small hosts fails: neither these nor a host with two failures of three fall."""
+    good = " ".join(f"w{i}" for i in range(60))
+    rows = [("x" if i % 8 == 0 else good, f"one{i}") for i in range(1000)] + [("x", "small"), ("x", "small"), (good, "small")]
+    rows += [("x", "large")] * 90 + [(good, "large")] * 10
+    got = rows_by(quality.judge(documents(*rows)))
+    assert got[1002]["kept"] and not got[1001]["kept"]
+    assert not any(got[i]["kept"] for i in range(1003, 1103))
+    assert all(got[i]["kept"] == (i % 8 != 0) for i in range(1000))
+
+
+@pytest.mark.parametrize("bad", [" #### " * 3, "\nsame line" * 40])
+def test_each_rule_can_reject_a_host(documents, bad):
+    """Documents that pass the base rules, of a host that is full of symbols or of repeated lines."""
+    words = [" ".join(f"w{k}x{i}" for i in range(100)) for k in range(60)]
+    rows = [(f"{w}{bad}", "bad") for w in words[:20]] + [(w, "bad") for w in words[20:22]] + [(w, f"h{k % 4}") for k, w in enumerate(words[22:])]
+    got = rows_by(quality.judge(documents(*rows)))
+    assert not any(got[i]["kept"] for i in range(22)) and not got[20]["base_failed"]
+    assert all(got[i]["kept"] for i in range(22, 60))
+
+
+def test_even_hosts_and_wide_hosts(spark):
+    def prior(rates):
+        return quality.fit_prior(spark.createDataFrame(rates, "host string, n bigint, failed bigint"))
+
+    even = prior([(str(i), 100, 20) for i in range(50)])
+    wide = prior([(str(i), 100, 95 if i % 2 else 5) for i in range(50)])
+    assert even.alpha + even.beta == quality.MAX_STRENGTH and wide.alpha + wide.beta < 2

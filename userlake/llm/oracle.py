@@ -46,24 +46,33 @@ WITH split AS (
   SELECT doc_id, source, len(words)::BIGINT AS n_words,
     length(array_to_string(words, ''))::BIGINT AS word_chars,
     (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines,
     coalesce(n, 0)::BIGINT AS n_repeat_words
   FROM split LEFT JOIN covered USING (r)
 ), judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures
 ), hosts AS (
-  SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS failed
+  SELECT source, count(*) AS n, [
+    count(*) FILTER (n_words < 50), count(*) FILTER (100 * n_repeat_words > 50 * n_words),
+    count(*) FILTER (100 * n_symbols > 10 * n_words), count(*) FILTER (100 * n_dup_lines > 30 * n_lines)
+  ] AS failures
   FROM judged WHERE source IS NOT NULL GROUP BY source
+), by_rule AS (
+  SELECT source, n, unnest([1, 2, 3, 4]) AS rule, unnest(failures) AS x FROM hosts
 ), moments AS (
-  SELECT sum(failed) / sum(n) AS mean, avg(failed / n) AS m, var_pop(failed / n) AS v FROM hosts
-), prior AS (
-  SELECT mean, least(greatest(CASE WHEN v * 1e6 <= m * (1 - m) THEN 1e6 ELSE m * (1 - m) / v - 1 END, 1), 1e6) AS strength
+  SELECT rule, count(*) AS k, sum(n)::DOUBLE AS n, sum(n * n)::DOUBLE AS squares, sum(x)::DOUBLE AS x,
+    sum(x * x / n) AS s, sum(x) / sum(n) AS m
+  FROM by_rule GROUP BY rule
+), spreads AS (
+  SELECT rule, m, s - x * x / n - m * (1 - m) * (k - 1) AS between_hosts, m * (1 - m) * (n - squares / n - (k - 1) + 100) AS room
   FROM moments
+), priors AS (
+  SELECT rule, m, least(greatest(CASE WHEN between_hosts > 0 THEN room / between_hosts - 1 ELSE 1e6 END, 1e-6), 1e6) AS strength
+  FROM spreads
 ), rejected AS (
-  SELECT source FROM hosts, prior
-  WHERE (failed + mean * strength) / (n + mean * strength + (1 - mean) * strength) > 0.5
+  SELECT DISTINCT source FROM by_rule JOIN priors USING (rule) WHERE (x + m * strength) / (n + strength) > 0.5
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed,
   NOT base_failed AND NOT coalesce(source IN (SELECT source FROM rejected), false) AS kept
 FROM judged
 """

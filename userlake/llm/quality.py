@@ -1,9 +1,10 @@
 """Quality rules of documents and of the hosts they come from.
 
-Base rules judge a document by itself. A host is judged by the share of its
-documents that fail: a beta prior is fitted to the rates of all hosts, each
-host's rate is shrunk towards it, and the documents of a host whose shrunk rate
-is above a bound are rejected too. DataFrame functions only.
+Base rules judge a document by itself. A host is judged rule by rule (few words,
+repeated windows, symbols, repeated lines) by the share of its documents that
+fail: a beta prior is fitted to the counts of all hosts, each host's rate is
+shrunk towards it, and the documents of a host with a shrunk rate above a bound
+in any rule are rejected too. DataFrame functions only.
 
 Defined cases: a null or blank text has no words and fails; a null source
 belongs to no host, so only the base rules judge it; repeated rows count as
@@ -13,6 +14,7 @@ kept, and a figure replaces an input column of its name.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -33,9 +35,19 @@ PLACE_MASK = (1 << PLACE_BITS) - 1
 METRICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
+# Symbols a word, and repeated lines among the lines with a word, above which the host rules count a failure.
+MAX_SYMBOL_PERCENT = 10
+MAX_DUP_LINE_PERCENT = 30
+# The estimate of a prior starts as if so many documents had shown no difference between hosts.
+EVEN_DOCUMENTS = 100
+# A prior counts for so many documents at most, as where hosts do not differ more than chance lets them.
+MAX_STRENGTH = 1e6
+RULES = ["few_words", "repeats", "symbols", "dup_lines"]
+
+
 @dataclass(frozen=True)
 class Prior:
-    """Beta prior of the failure rate of a host."""
+    """Beta prior of the rate at which the documents of a host fail a rule."""
 
     alpha: float
     beta: float
@@ -146,12 +158,13 @@ def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
             ),
         )
         .select(
-            *[F.col(f"`{c}`") for c in df.columns if c not in METRICS],
+            *[F.col(f"`{c}`") for c in df.columns if c not in [*METRICS, "n_lines"]],
             F.size(words).cast("bigint").alias("n_words"),
             F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
             (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
             (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
             covered_words(col["places"]).alias("n_repeat_words"),
+            F.size(lines).cast("bigint").alias("n_lines"),
         )
     )
 
@@ -160,50 +173,82 @@ def fails_base(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEAT_PERCENT * n_words)
 
 
-def host_counts(judged: DataFrame, host: str, failed: str) -> DataFrame:
-    """Documents and failed documents of each host."""
+def rule_failures() -> dict[str, Column]:
+    """The rules that hosts are judged by, over the figures of a document."""
+    n_words = F.col("n_words")
+    return {
+        "few_words": n_words < MIN_WORDS,
+        "repeats": 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n_words,
+        "symbols": 100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * n_words,
+        "dup_lines": 100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("n_lines"),
+    }
+
+
+def host_counts(figures: DataFrame, host: str) -> DataFrame:
+    """Documents of each host, and those that fail each rule."""
     return (
-        judged.where(F.col(host).isNotNull())
+        figures.where(F.col(host).isNotNull())
         .groupBy(F.col(host).alias("host"))
-        .agg(F.count("*").alias("n"), F.sum(F.col(failed).cast("bigint")).alias("failed"))
+        .agg(F.count("*").alias("n"), *[F.count_if(fails).alias(rule) for rule, fails in rule_failures().items()])
     )
 
 
-def fit_prior(hosts: DataFrame) -> Prior:
-    """Beta prior by the moments of the hosts' rates; one row reaches the driver.
+def fit_priors(hosts: DataFrame, rules: Sequence[str] = RULES) -> dict[str, Prior]:
+    """A beta prior for each rule, by the moments of beta-binomial counts; one row reaches the driver.
 
-    The mean is that of all documents. The strength follows from the spread of
-    the rates, between 1 (rates differ as much as they can) and a million.
+    With n_i documents and x_i failures of k hosts, N and X in all and m = X/N,
+    the spread S = sum n_i (x_i/n_i - m)^2 is m(1-m)(k-1) by chance alone. What
+    is beyond that, against the m(1-m)(N - sum n_i^2/N - (k-1)) that hosts of
+    one rate each would add, is the share of the variance that lies between
+    hosts; the prior's strength is one over it, less one. Hosts weigh by their
+    documents, those of one document tell nothing of the spread, and
+    EVEN_DOCUMENTS keep a few small hosts from telling all. No spread beyond
+    chance gives the strongest prior.
     """
-    rate = F.col("failed") / F.col("n")
-    row = hosts.agg(
-        F.sum("failed").alias("failed"), F.sum("n").alias("n"), F.avg(rate).alias("m"), F.var_pop(rate).alias("v")
-    ).first()
-    if not row["n"]:
-        return Prior(0.5, 0.5)
-    mean = row["failed"] / row["n"]
-    spread = row["m"] * (1 - row["m"])
-    strength = 1e6 if row["v"] * 1e6 <= spread else spread / row["v"] - 1
-    strength = min(max(strength, 1.0), 1e6)
-    return Prior(mean * strength, (1 - mean) * strength)
-
-
-def rejected_hosts(hosts: DataFrame, prior: Prior, max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """Hosts whose shrunk failure rate is above the bound."""
-    shrunk = (F.col("failed") + prior.alpha) / (F.col("n") + prior.alpha + prior.beta)
-    return hosts.where(shrunk > max_rate).select("host")
+    sums = [F.count("*").alias("k"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares")]
+    for rule in rules:
+        failed = F.col(rule)
+        sums += [F.sum(failed).alias(f"{rule}_x"), F.sum(failed * failed / F.col("n")).alias(f"{rule}_s")]
+    row = hosts.agg(*sums).first()
+    priors = {}
+    for rule in rules:
+        if not row["n"]:
+            priors[rule] = Prior(0.5, 0.5)
+            continue
+        n, x = row["n"], row[f"{rule}_x"]
+        mean, chance = x / n, row["k"] - 1
+        one = mean * (1 - mean)
+        between = row[f"{rule}_s"] - x * x / n - one * chance
+        room = one * (n - row["squares"] / n - chance + EVEN_DOCUMENTS)
+        strength = room / between - 1 if between > 0 else MAX_STRENGTH
+        strength = min(max(strength, 1 / MAX_STRENGTH), MAX_STRENGTH)
+        priors[rule] = Prior(mean * strength, (1 - mean) * strength)
+    return priors
+
+
+def fit_prior(hosts: DataFrame, failed: str = "failed") -> Prior:
+    """The prior of one rule, whose failures are in the given column."""
+    return fit_priors(hosts, [failed])[failed]
+
+
+def rejected_hosts(hosts: DataFrame, priors: dict[str, Prior], max_rate: float = MAX_HOST_RATE) -> DataFrame:
+    """Hosts with a shrunk failure rate above the bound in any rule."""
+    above = F.lit(False)
+    for rule, prior in priors.items():
+        above = above | ((F.col(rule) + prior.alpha) / (F.col("n") + prior.alpha + prior.beta) > max_rate)
+    return hosts.where(above).select("host")
 
 
 def judge(documents: DataFrame) -> DataFrame:
     """doc_id, source, the figures, `base_failed` and `kept` of each document."""
     judged = stored(
         with_metrics(documents.select("doc_id", "source", "text")).select(
-            "doc_id", "source", *METRICS, fails_base(F.col("n_words"), F.col("n_repeat_words")).alias("base_failed")
+            "doc_id", "source", *METRICS, "n_lines", fails_base(F.col("n_words"), F.col("n_repeat_words")).alias("base_failed")
         ),
         "quality",
     )
-    hosts = host_counts(judged, "source", "base_failed")
-    rejected = rejected_hosts(hosts, fit_prior(hosts)).withColumn("host_failed", F.lit(True))
+    hosts = host_counts(judged, "source")
+    rejected = rejected_hosts(hosts, fit_priors(hosts)).withColumn("host_failed", F.lit(True))
     joined = judged.join(rejected, judged["source"] == rejected["host"], "left").drop("host")
     return joined.select(
         *judged.columns,
@@ -213,10 +258,8 @@ def judge(documents: DataFrame) -> DataFrame:
 
 def keep_good(documents: DataFrame) -> DataFrame:
     """The documents that pass, with their columns. The base rules run twice, so that no text is stored or shuffled."""
-    figures = with_metrics(documents.select("source", "text"))
-    judged = figures.select("source", fails_base(F.col("n_words"), F.col("n_repeat_words")).alias("failed"))
-    hosts = stored(host_counts(judged, "source", "failed"), "quality-hosts")
-    rejected = rejected_hosts(hosts, fit_prior(hosts))
+    hosts = stored(host_counts(with_metrics(documents.select("source", "text")), "source"), "quality-hosts")
+    rejected = rejected_hosts(hosts, fit_priors(hosts))
     whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
     marked = with_metrics(documents.select(whole.alias("row"), "text"))
     # A generator of one row or none: a filter would be pushed below the figures and take them along, again and again.
