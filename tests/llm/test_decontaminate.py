@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -102,3 +103,22 @@ def test_an_item_without_id_contaminates_as_any_other(spark, documents):
     bench = spark.createDataFrame([(None, passage), (1, "eta theta iota kappa lambda")], ITEMS)
     assert [r.doc_id for r in dc.drop_contaminated(df, bench).collect()] == [2]
     assert [(r.doc_id, r.item_id) for r in dc.find_matches(df, bench).collect()] == [(1, 1)]
+
+
+def test_repeated_words_and_periods_equal_brute_force(spark, documents):
+    """Texts and items of one word, of short periods and of runs among other words."""
+    docs = ["a " * 60, "a b " * 40, "a b c " * 30, "x " * 9 + "a " * 14 + "y " * 9, "a " * 12, "a a b " * 20, "b " * 25 + "a b " * 10]
+    items = ["a " * 30, "a b " * 12, "b " * 13, "a " * 9 + "b " * 9, "a a b c " * 5, "a " * 6]
+    bench = spark.createDataFrame(list(enumerate(items)), ITEMS)
+    want = brute(list(enumerate(docs)), list(enumerate(items)))
+    assert len(want) == 9 and pairs(dc.find_matches(documents(*docs), bench)) == want
+
+
+def test_very_long_texts_of_one_word():
+    finder = dc.Search(dc.Benchmark([(1, ["0"] * 1000), (2, ["0", "1"] * 200)]))
+    start = time.monotonic()
+    rows = finder.matches(["0 " * 200_000, "0 1 " * 100_000, "2 " * 1000 + "0 " * 100])
+    assert time.monotonic() - start < 20
+    assert {(d, i): (n, place) for d, i, n, _, place in rows} == {
+        (0, 1): (1000, 0), (1, 2): (400, 0), (2, 1): (1000, 998)
+    }

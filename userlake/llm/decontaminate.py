@@ -16,7 +16,8 @@ words is not searched for; repeated items are reported each; an item without
 item_id contaminates documents as any other, but has no name to be reported
 under; repeated rows and rows without doc_id are judged each; empty tables give
 an empty result, or all documents as clean; further columns are ignored or kept
-as stated.
+as stated; texts are searched whole, and words that repeat, in a text as in an
+item, cost what their distinct surroundings do.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ MASKS = ("1111", "10111", "11011", "11101")
 SEED_SPAN = 5
 WINDOW = 13
 MIN_EQUAL = 0.8
+# Words before a hit at which a window that holds its seed can begin.
+REACH = WINDOW - SEED_SPAN
 # Characters of benchmark text in a block, and words of documents searched together.
 BLOCK_CHARS = 8 << 20
 TOGETHER = 1 << 19
@@ -67,6 +70,26 @@ def seeds(codes: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
     return at, value
 
 
+def first_of_each_surroundings(
+    codes: np.ndarray, start: np.ndarray, end: np.ndarray, owner: np.ndarray, at: np.ndarray
+) -> np.ndarray:
+    """Of ascending places those whose surroundings no earlier one of their document has, looked at in portions.
+
+    What is verified around a place depends on the words within its reach
+    alone, so a page of one repeated word, or of any period, is a few places.
+    """
+    steps, kept = np.arange(-REACH, WINDOW), []
+    for first in range(0, len(at), HITS_TOGETHER):
+        here = at[first : first + HITS_TOGETHER, None] + steps
+        doc = owner[at[first : first + HITS_TOGETHER]]
+        inside = (here >= start[doc][:, None]) & (here < end[doc][:, None])
+        around = np.where(inside, codes[np.where(inside, here, 0)], 0)
+        rows = np.ascontiguousarray(np.concatenate([doc[:, None].astype(np.uint64), around.astype(np.uint64)], axis=1))
+        whole = rows.view(np.dtype((np.void, rows.shape[1] * 8))).reshape(-1)
+        kept.append(first + np.sort(np.unique(whole, return_index=True)[1]))
+    return np.concatenate(kept) if kept else np.zeros(0, np.int64)
+
+
 class Benchmark:
     """A block of items as codes in one array, and their seeds."""
 
@@ -101,7 +124,9 @@ class Search:
         self.block = block
         self.lookup = block.codes_of.get
 
-    def hits(self, codes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def hits(
+        self, codes: np.ndarray, start: np.ndarray, end: np.ndarray, owner: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places in documents and in the block whose seeds are equal, in bounded portions."""
         for mask, (values, places, present) in zip(MASKS, self.block.index):
             at, value = seeds(codes, mask)
@@ -110,7 +135,8 @@ class Search:
             inside = owner[at] == owner[at + len(mask) - 1]
             at, value = at[inside], value[inside]
             low, high = np.searchsorted(values, value, "left"), np.searchsorted(values, value, "right")
-            found = high > low
+            found = np.flatnonzero(high > low)
+            found = found[first_of_each_surroundings(codes, start, end, owner, at[found])]
             at, low, many = at[found], low[found], (high - low)[found]
             ends = np.cumsum(many)
             for first in range(0, int(ends[-1]) if len(ends) else 0, HITS_TOGETHER):
@@ -119,11 +145,14 @@ class Search:
                 yield at[k], places[low[k] + rank - (ends[k] - many[k])]
 
     def verified(self, codes: np.ndarray, start: np.ndarray, end: np.ndarray, owner: np.ndarray) -> np.ndarray:
-        """Rows (document, item, place in block, place in documents) of words in verified windows."""
-        block, rows = self.block, [np.zeros((0, 4), np.int64)]
-        reach = WINDOW - SEED_SPAN
-        steps = np.arange(-reach, WINDOW)
-        for p, q in self.hits(codes, owner):
+        """Rows (document, item, place in block, place in documents) of verified windows.
+
+        Of the windows of one document that are equal to one place of the block
+        only the first is kept, after each portion.
+        """
+        block, rows = self.block, np.zeros((0, 4), np.int64)
+        steps = np.arange(-REACH, WINDOW)
+        for p, q in self.hits(codes, start, end, owner):
             item, doc = block.owner[q], owner[p]
             width, needed = block.window[item], block.needed[item]
             there, here = q[:, None] + steps, p[:, None] + steps
@@ -135,17 +164,20 @@ class Search:
             )
             total = np.concatenate([np.zeros((len(p), 1), np.int64), np.cumsum(equal, axis=1)], axis=1)
             hit = np.arange(len(p))
-            for first in range(reach + 1):
+            found = [rows]
+            for first in range(REACH + 1):
                 begin = q + steps[first]
                 last = np.minimum(first + width, len(steps))
                 good = (
                     (begin >= block.start[item]) & (begin + width <= block.end[item])
                     & (total[hit, last] - total[hit, first] >= needed) & (first + width <= len(steps))
                 )
-                for k in range(int(width[good].max(initial=0))):
-                    inner = good & (k < width)
-                    rows.append(np.stack([doc[inner], item[inner], begin[inner] + k, p[inner] + steps[first] + k], axis=1))
-        return np.unique(np.concatenate(rows), axis=0)
+                found.append(np.stack([doc[good], item[good], begin[good], p[good] + steps[first]], axis=1))
+            rows = np.concatenate(found)
+            rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 0]))]
+            other = np.any(rows[1:, [0, 2]] != rows[:-1, [0, 2]], axis=1)
+            rows = rows[np.concatenate([[True], other])] if len(rows) else rows
+        return rows
 
     def matches(self, texts: list[str | None]) -> list[tuple[int, int | None, int, int, int]]:
         """(text, item, words of the item found, words of the item, first word in the text) of each match."""
@@ -157,15 +189,19 @@ class Search:
         rows = self.verified(codes, start, end, np.repeat(np.arange(len(cut)), lengths))
         if not len(rows):
             return []
-        pairs, first, inverse = np.unique(rows[:, :2], axis=0, return_index=True, return_inverse=True)
+        pairs, inverse = np.unique(rows[:, :2], axis=0, return_inverse=True)
         found = np.zeros(len(pairs), np.int64)
-        seen = np.unique(np.stack([inverse.reshape(-1), rows[:, 2]], axis=1), axis=0)
-        np.add.at(found, seen[:, 0], 1)
+        # Words of the item in the windows: each window adds what the one before it does not reach.
+        width = self.block.window[rows[:, 1]]
+        new = width.copy()
+        follows = np.all(rows[1:, :2] == rows[:-1, :2], axis=1)
+        new[1:] = np.where(follows, np.minimum(width[1:], rows[1:, 2] - rows[:-1, 2]), width[1:])
+        np.add.at(found, inverse.reshape(-1), new)
         opening = np.full(len(pairs), np.iinfo(np.int64).max)
         np.minimum.at(opening, inverse.reshape(-1), rows[:, 3])
         block = self.block
         return [
-            (int(d), block.ids[i], int(n), int(block.end[i] - block.start[i]), int(o - start[d]))
+            (int(d), block.ids[i], int(n), int(block.end[i] - block.start[i]), max(int(o - start[d]), 0))
             for (d, i), n, o in zip(pairs.tolist(), found.tolist(), opening.tolist())
         ]
 
