@@ -14,6 +14,7 @@ from userlake.operators.anomalies import detect_anomalies
 from userlake.operators.ranking import falling, rising, with_range_number, with_row_number
 from userlake.operators.tallies import TOTAL, Kind, tallies
 from userlake.operators.users import users_transformed
+from userlake.plans.pairing import beside_every
 
 
 def brute_row_numbers(rows, descending):
@@ -99,6 +100,17 @@ def test_a_range_tells_later_ones_about_its_last_group_only(spark):
     assert places == {(g, n): n - 700 * g + 1 for g, n in rows}
 
 
+def test_every_row_beside_every_other(spark):
+    left = spark.createDataFrame([(i % 7, f"n{i % 40}") for i in range(60)], "a int, b string")
+    right = spark.createDataFrame([(None,), (1,), (1,)], "c int")
+    pairs = beside_every(left, right)
+    assert pairs.columns == ["a", "b", "c"] and pairs.count() == 180
+    assert Counter(r.c for r in pairs.collect()) == {None: 60, 1: 120}
+    assert beside_every(left, right.limit(0)).count() == 0
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("CartesianProduct|NestedLoop", plan)
+
+
 def test_tallies_equal_separate_counts(spark):
     draw = random.Random(7)
     rows = [(draw.choice(["x", "y", None, ""]), f"n{int(draw.expovariate(0.1))}") for _ in range(500)] + [(None, None)]
@@ -214,6 +226,19 @@ def test_users_without_registration_date_are_counted(users_like, ctx):
     assert (expansion.user_count, expansion.days_since_first_user) == (2, 214)
 
 
+def test_growth_of_one_batch_follows_one_sequence_of_each_kind(tables, ctx):
+    """With one batch the growth is that of a sequence over all rows of a period kind."""
+    users = tables["users_transformed"].withColumn("processing_date", F.lit(date(2024, 10, 1)))
+    rows = trends.registration_trends(users, ctx).collect()
+    for kind in trends.PERIOD_KINDS:
+        mine = sorted((r for r in rows if r.period_type == kind), key=lambda r: (r.time_period or "", r.registrations))
+        before = [None, *[r.registrations for r in mine[:-1]]]
+        assert [r.previous_registrations for r in mine] == before
+        assert mine[0].growth_rate is None
+        for row, b in list(zip(mine, before))[1:]:
+            assert abs(row.growth_rate - (row.registrations - b) * 100.0 / b) < 0.00501
+
+
 def test_country_without_any_date_counts_from_today(users_like, ctx):
     row = trends.geographic_expansion(users_transformed(users_like({}, {}), ctx), ctx).first()
     assert (row.days_since_first_user, row.user_acquisition_rate) == (None, 2.0)

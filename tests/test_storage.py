@@ -139,6 +139,62 @@ def test_schema_differences_and_conformance(spark):
     assert tuple(conformed.first()) == (None, 1, None)
 
 
+def document(name, partitions=(), **types):
+    columns = [{"name": column, "type": kind} for column, kind in types.items()]
+    return {"tables": {name: {"columns": columns, "partitions": list(partitions)}}}
+
+
+def test_types_are_widened_and_others_reported(spark, database, tmp_path):
+    df = spark.createDataFrame([(1, 2.5, "x", "a"), (2, None, "y", "b")], "n int, x double, w string, d string")
+    sinks.save_table(df, f"{database}.kept", "append", ["d"], f"{tmp_path}/kept")
+    wanted = document("kept", ["d"], n="bigint", x="int", d="string", w="string")
+    changes = catalog.evolve_tables(spark, wanted, database, str(tmp_path))
+    assert [(c.column, c.stored, c.declared, c.widened) for c in changes] == [
+        ("n", "int", "bigint", True), ("x", "double", "int", False),
+    ]
+    table = spark.table(f"{database}.kept")
+    assert [(f.name, f.dataType.simpleString()) for f in table.schema] == [
+        ("n", "bigint"), ("x", "double"), ("w", "string"), ("d", "string"),
+    ]
+    assert bag(table) == bag(df)
+    sinks.save_table(df.withColumn("n", F.col("n").cast("bigint")), f"{database}.kept", "append")
+    assert spark.table(f"{database}.kept").count() == 4
+    again = catalog.evolve_tables(spark, wanted, database, str(tmp_path))
+    assert [(c.column, c.widened) for c in again] == [("x", False)]
+
+
+@pytest.mark.parametrize("done", [1, 2])
+def test_a_swap_left_half_done_is_completed(spark, database, tmp_path, done):
+    df = spark.createDataFrame([(1,), (2,)], "n int")
+    sinks.save_table(df, f"{database}.kept", path=f"{tmp_path}/old")
+    sinks.save_table(df.selectExpr("cast(n AS bigint) AS n"), f"{database}.kept__staged", path=f"{tmp_path}/new")
+    spark.sql(f"ALTER TABLE {database}.kept RENAME TO {database}.kept__replaced")
+    if done == 2:
+        spark.sql(f"ALTER TABLE {database}.kept__staged RENAME TO {database}.kept")
+    assert catalog.evolve_tables(spark, document("kept", n="bigint"), database, str(tmp_path)) == []
+    assert [tuple(r) for r in spark.table(f"{database}.kept").orderBy("n").collect()] == [(1,), (2,)]
+    assert [t.name for t in spark.catalog.listTables(database)] == ["kept"]
+
+
+def test_each_kind_of_difference_is_a_row(spark, database, tmp_path):
+    df = spark.createDataFrame([("1", "p", 1, "k"), ("x", "p", 2, "k"), (None, "p", 3, "k")], "a string, d string, more int, e string")
+    sinks.save_table(df, f"{database}.kept", "append", ["d"], f"{tmp_path}/kept")
+    wanted = document("kept", ["e"], a="int", d="string", e="string", absent="date")
+    wanted["tables"]["no_such_table"] = {"columns": [{"name": "z", "type": "int"}], "partitions": []}
+    rows = {(r.table_name, r.column_name): (r.difference, r.filled, r.unfit) for r in catalog.conformance_rows(spark, wanted, database).collect()}
+    assert rows == {
+        ("kept", "a"): ("type", 2, 1), ("kept", "d"): ("partition", None, None), ("kept", "e"): ("partition", None, None),
+        ("kept", "absent"): ("missing", None, None), ("kept", "more"): ("undeclared", None, None),
+        ("no_such_table", "z"): ("missing", None, None),
+    }
+
+
+def test_summary_reads_users_once_beside_the_quality_metrics(spark, ctx, raw, tmp_path):
+    path = sinks.write_folder(raw, f"{tmp_path}/raw")
+    plan = tables_from_raw(spark.read.parquet(path), ctx)["vw_executive_summary"]._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[", plan)) == 2
+
+
 def test_ingest_takes_each_file_once(spark, tmp_path):
     inbox, target, checkpoint = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/cp"
 

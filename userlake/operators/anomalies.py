@@ -13,8 +13,9 @@ def detect_anomalies(df: DataFrame, metric: str, threshold: float = 2.0) -> Data
 
     Mean and deviation are one scalar subquery, that is one further pass over the
     input, of which two numbers reach the driver. The generator that hands them
-    to the rows keeps filters on the marks from copying it. With no spread to measure (fewer than two rows, or equal values) the score
-    is null and the row counts as normal.
+    to the rows keeps filters on the marks from copying it. With no spread to
+    measure (fewer than two rows, or equal values) the score is null and the row
+    counts as normal.
     """
     figures = df.select(
         F.struct(F.avg(metric).alias("mean"), F.nullif(F.stddev_samp(metric), F.lit(0.0)).alias("spread"))

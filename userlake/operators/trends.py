@@ -98,6 +98,9 @@ def registration_trends(users: DataFrame, ctx: RunContext) -> DataFrame:
 
     Periods follow each other in text order (weekdays alphabetically), within
     one period kind and batch: a window holds the calendar periods of one batch.
+    That is a departure where there are several batches: one sequence over all
+    of them would set a period beside the same period of another batch, in no
+    defined order. With one batch both are the same.
     """
     timeline = W.partitionBy("period_type", "processing_date").orderBy("time_period", "registrations")
     previous = F.col("previous_registrations")
