@@ -9,6 +9,7 @@ from tests.conftest import DATA
 from tests.llm.conftest import rows_by
 from userlake.llm import near_copies
 from userlake.llm.near_copies import band_keys, keep_one_of_each, near_copy_groups, shingle_hashes
+from userlake.llm.simhash import bits_of_majority
 
 
 def slow_shingles(text):
@@ -122,3 +123,48 @@ def test_pairs_share_a_band(similarity):
 def test_bands_of_long_texts_are_those_of_their_parts():
     text = " ".join(f"w{i}" for i in range(30_000))
     assert len(band_keys(np.unique(shingle_hashes(text)))) == near_copies.BANDS and band_keys(np.empty(0, np.uint64)) == []
+
+
+def crowded_texts(seed, count):
+    """Texts of one origin that mostly differ in over a fifth of their shingles, and of each a second of another fifth."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(count):
+        first = edited(rng, words, rng.randrange(1, 4)).split()
+        texts += [" ".join(first), edited(rng, first, 1)]
+    return texts
+
+
+def groups_over_bands(texts):
+    """doc -> smallest doc reachable over all pairs that share a band or a fingerprint and four fifths of their shingles."""
+    hashes = {i: shingle_hashes(t) for i, t in enumerate(texts)}
+    sets = {i: set(h.tolist()) for i, h in hashes.items()}
+    bands = {i: {*band_keys(np.unique(h)), ("fp", bits_of_majority(h))} for i, h in hashes.items()}
+    label = {i: i for i in sets}
+    for i in sets:
+        for j in range(i):
+            if label[i] != label[j] and bands[i] & bands[j] and similar(sets[i], sets[j]):
+                a, b = label[i], label[j]
+                label.update({k: min(a, b) for k, x in label.items() if x == max(a, b)})
+    return label
+
+
+def test_no_pair_of_a_crowded_band_is_dropped(spark, documents):
+    """Bands of very many nodes, few of which are near-copies of the three that all are compared with."""
+    texts = crowded_texts(5, 500)
+    got = {i: r.component_id for i, r in rows_by(near_copy_groups(documents(*texts))).items()}
+    assert got == groups_over_bands(texts)
+
+
+def test_the_rest_of_a_band_is_compared_whole(spark):
+    """One band of 600 nodes in 300 pairs, 200 of another component: links of all pairs, none within a component."""
+    sets = [(i, [1000 * (i // 2) + k + (i % 2) for k in range(30)]) for i in range(600)] + [(i, [-i]) for i in range(600, 800)]
+    nodes = spark.createDataFrame([(i, [7, 7, 8]) for i, _ in sets], "node bigint, bands array<bigint>")
+    shingles = spark.createDataFrame(sets, "node bigint, shingles array<bigint>")
+    labels = spark.createDataFrame([(i, 600) for i in range(600, 800)] + [(0, 0), (1, 0)], "node bigint, component bigint")
+    compared = {r.other for r in near_copies.with_stars(nodes.selectExpr("node", "explode(bands) AS key")).selectExpr("explode(others) AS other").collect()}
+    links = {(min(r), max(r)) for r in near_copies.rest_links(nodes, labels, shingles).collect()}
+    # The three of band 7 and of band 8 were compared with all of them before.
+    want = {(i, i + 1) for i in range(2, 600, 2)}
+    assert links <= want and all(compared & set(pair) for pair in want - links)
