@@ -7,8 +7,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.conftest import DATA
-from tests.llm.conftest import rows_by
-from userlake.llm import simhash
+from tests.llm.conftest import plan_of, rows_by
+from userlake.llm import components as component_links, simhash
 from userlake.llm.components import components
 from userlake.llm.queries import registered
 
@@ -97,3 +97,11 @@ def test_repeated_rows_null_ids_and_an_empty_table(spark, documents):
 def test_long_chains_are_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)], "u bigint, v bigint")
     assert {r.component for r in components(links).collect()} == {0}
+
+
+def test_what_grows_with_the_documents_is_never_broadcast(documents, plans):
+    """Spark sizes a table too low after an explode, so what it would broadcast of a small input it may of a large one."""
+    made = plans(simhash, component_links)
+    made.append(plan_of(simhash.near_duplicates(documents("a b c d", "a b c d", "x y z"))))
+    assert sum(plan.count("SortMergeJoin") for plan in made) >= 7  # variants, both kinds of links, stars, results
+    assert not any("Broadcast" in plan for plan in made)

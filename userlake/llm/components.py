@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from userlake.llm.common import stored
+from userlake.llm.common import by_merge, stored
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Each node's larger neighbours are linked to its smallest neighbour or itself."""
     around = _both_ways(links)
     least = around.groupBy("u").agg(F.min("v").alias("m"))
-    return around.join(least, "u").where(F.col("v") > F.col("u")).select(
+    return around.join(by_merge(least), "u").where(F.col("v") > F.col("u")).select(
         F.col("v").alias("u"), F.least("u", "m").alias("v")
     ).distinct()
 
@@ -25,7 +25,7 @@ def _small_star(links: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours are linked to the smallest of them."""
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    joined = down.join(least, "u")
+    joined = down.join(by_merge(least), "u")
     return (
         joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
         .unionByName(least.select("u", F.col("m").alias("v")))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from userlake.llm.common import stored
+from userlake.llm.common import by_merge, stored
 from userlake.llm.components import components
 
 SEED = 42
@@ -88,9 +88,8 @@ def compared_links(members: DataFrame) -> DataFrame:
     """Links between members of one variant, each pair compared in full."""
     one = members.select("key", F.col("node").alias("u"), F.col("fp").alias("a"))
     two = members.select("key", F.col("node").alias("v"), F.col("fp").alias("b"))
-    return one.join(two, (one["key"] == two["key"]) & (F.col("u") < F.col("v")) & _within(F.col("a"), F.col("b"))).select(
-        "u", "v"
-    )
+    near = (one["key"] == two["key"]) & (F.col("u") < F.col("v")) & _within(F.col("a"), F.col("b"))
+    return one.join(by_merge(two), near).select("u", "v")
 
 
 def star_links(members: DataFrame) -> DataFrame:
@@ -119,7 +118,7 @@ def star_links(members: DataFrame) -> DataFrame:
     )
     key = ["i", "j", "rest"]
     least = variants.groupBy(*key).agg(F.min("node").alias("v"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return variants.join(least, key).where("node <> v").select(F.col("node").alias("u"), "v").distinct()
+    return variants.join(by_merge(least), key).where("node <> v").select(F.col("node").alias("u"), "v").distinct()
 
 
 def fingerprint_links(nodes: DataFrame, limit: int = BUCKET_LIMIT) -> DataFrame:
@@ -131,7 +130,7 @@ def fingerprint_links(nodes: DataFrame, limit: int = BUCKET_LIMIT) -> DataFrame:
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     variants = half_variants(nodes.repartition(tasks, "node"))
     shared = variants.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(variants.join(shared, "key"), "variants")
+    members = stored(variants.join(by_merge(shared), "key"), "variants")
     return compared_links(members.where(F.col("n") <= limit)).unionByName(star_links(members.where(F.col("n") > limit)))
 
 
@@ -140,8 +139,8 @@ def near_duplicates(documents: DataFrame, text: str = "text") -> DataFrame:
     prints = stored(fingerprints(documents, text), "fingerprints")
     nodes = prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("node"))
     labels = components(fingerprint_links(nodes))
-    found = nodes.join(labels, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(found, "fp", "left").select(
+    found = nodes.join(by_merge(labels), "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    return prints.join(by_merge(found), "fp", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
