@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 
 from tests.conftest import DATA
-from tests.llm.conftest import rows_by
-from userlake.llm import near_copies
+from tests.llm.conftest import plan_of, rows_by
+from userlake.llm import components, near_copies, simhash
 from userlake.llm.near_copies import band_keys, keep_one_of_each, near_copy_groups, shingle_hashes
 from userlake.llm.simhash import bits_of_majority
 
@@ -168,3 +168,11 @@ def test_the_rest_of_a_band_is_compared_whole(spark):
     # The three of band 7 and of band 8 were compared with all of them before.
     want = {(i, i + 1) for i in range(2, 600, 2)}
     assert links <= want and all(compared & set(pair) for pair in want - links)
+
+
+def test_what_grows_with_the_documents_is_never_broadcast(documents, plans):
+    made = plans(near_copies, simhash, components)
+    words = " ".join(f"w{k}" for k in range(60))
+    made.append(plan_of(keep_one_of_each(documents(words, words, f"{words} x", "other words"))))
+    assert sum(plan.count("SortMergeJoin") for plan in made) >= 20  # candidates, sets, links, rest, stars, results
+    assert not any("Broadcast" in plan for plan in made)

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import DATA
-from tests.llm.conftest import rows_by
+from tests.llm.conftest import plan_of, rows_by
 from userlake.llm import sanitise
 from userlake.llm.queries import registered
 
@@ -197,3 +197,13 @@ def test_repeated_rows_null_ids_and_an_empty_table(documents):
 def test_an_entity_in_every_document_tells_nothing(documents, count):
     texts = ["mail Zorbax at jo@x.org please"] * count
     check(rows_by(sanitise.digests(sanitise.all_spans(documents(*texts)))), texts)
+
+
+def test_terms_of_all_mentions_are_never_broadcast(documents, plans):
+    """Mentions and terms are exploded, which Spark takes no account of when it sizes a table."""
+    found, told = plans(sanitise), documents(*contacts())
+    sanitise.all_spans(told)
+    assert len(found) == 2 and found[1].count("SortMergeJoin") == 3 and "Broadcast" not in found[1]
+    rows = sanitise.stored(sanitise.found(told), "rows")
+    terms = sanitise.stored(sanitise.disclosing_terms(told, rows), "terms")
+    assert "SortMergeJoin [entity" in plan_of(sanitise.term_spans(told, rows, terms))

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from userlake.llm.common import stored
+from userlake.llm.common import by_merge, stored
 from userlake.llm.components import components
 from userlake.llm.simhash import SEED, bits_of_majority, fingerprint_links
 
@@ -114,7 +114,7 @@ def with_stars(keyed: DataFrame) -> DataFrame:
         )
     )
     dealt = keyed.withColumn("lot", F.pmod(F.xxhash64("node"), F.lit(LOTS)).cast("int"))
-    return dealt.join(chosen, ["key", "lot"]).select("node", "key", "n", "others")
+    return dealt.join(by_merge(chosen), ["key", "lot"]).select("node", "key", "n", "others")
 
 
 def band_candidates(nodes: DataFrame) -> DataFrame:
@@ -136,7 +136,7 @@ def rest_members(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     keyed = nodes.select("node", F.explode("bands").alias("key")).distinct()
     others = with_stars(keyed).where((F.col("n") > F.size("others") + 1) & ~F.array_contains("others", F.col("node")))
     members = stored(
-        others.select("node", "key").join(labels, "node", "left").select(
+        others.select("node", "key").join(by_merge(labels), "node", "left").select(
             "node", "key", F.coalesce("component", "node").alias("component")
         ),
         "near-members",
@@ -155,7 +155,7 @@ def rest_members(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     block = F.when(F.col("component") == F.col("top"), F.col("few") + F.pmod(dealt, F.col("many"))).otherwise(
         F.pmod(dealt, F.col("few"))
     )
-    return members.join(bands, "key").groupBy("node", "component").agg(
+    return members.join(by_merge(bands), "key").groupBy("node", "component").agg(
         F.collect_list(F.struct("key", "few", "many", block.alias("block"))).alias("places")
     )
 
@@ -169,7 +169,7 @@ def rest_links(nodes: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFram
     """
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     members = stored(
-        rest_members(nodes, labels).join(sets, "node").select(
+        rest_members(nodes, labels).join(by_merge(sets), "node").select(
             "node", "component", F.col("places.key").alias("keys"), "shingles", "places"
         ),
         "near-places",
@@ -185,7 +185,8 @@ def rest_links(nodes: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFram
         F.col("node").alias("v"), F.col("component").alias("cv"), F.col("keys").alias("kv"), F.col("shingles").alias("b"),
     )
     # A cell is little to read and much to compare, so cells are not gathered by their bytes.
-    met = one.repartition(tasks, "key", "i", "j").join(two.repartition(tasks, "key", "i", "j"), ["key", "i", "j"]).where(
+    cells = one.repartition(tasks, "key", "i", "j").join(by_merge(two.repartition(tasks, "key", "i", "j")), ["key", "i", "j"])
+    met = cells.where(
         (F.col("cu") != F.col("cv"))
         & ((F.col("i") < F.col("j")) | (F.col("u") < F.col("v")))
         & (100 * F.least(F.size("a"), F.size("b")) >= MIN_PERCENT * F.greatest(F.size("a"), F.size("b")))
@@ -198,7 +199,7 @@ def rest_links(nodes: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFram
 def fingerprint_candidates(nodes: DataFrame) -> DataFrame:
     """Pairs (u, v), u > v, of nodes (node, fp) whose fingerprints are equal or within two bits."""
     first = stored(nodes.groupBy("fp").agg(F.min("node").alias("first")), "near-fingerprints")
-    equal = nodes.join(first, "fp").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    equal = nodes.join(by_merge(first), "fp").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
     close = fingerprint_links(first.select(F.col("first").alias("node"), "fp"))
     return equal.unionByName(close.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
 
@@ -214,7 +215,7 @@ def sets_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The shingles (node, shingles) of the texts (node, text) of nodes in pairs (u, v); no others are read again."""
     named = pairs.select("u").unionByName(pairs.select(F.col("v").alias("u"))).distinct().withColumnRenamed("u", "node")
     return stored(
-        texts.join(named, "node", "left_semi").select("node", "text").mapInArrow(shingle_sets, "node bigint, shingles array<bigint>"),
+        texts.join(by_merge(named), "node", "left_semi").select("node", "text").mapInArrow(shingle_sets, "node bigint, shingles array<bigint>"),
         "near-shingles",
     )
 
@@ -230,8 +231,8 @@ def confirmed_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     A node in very many pairs is `v` in them, and adaptive execution splits the
     join on it.
     """
-    larger = pairs.join(sets.withColumnsRenamed({"node": "u", "shingles": "a"}), "u")
-    whole = larger.join(sets.withColumnsRenamed({"node": "v", "shingles": "b"}), "v")
+    larger = pairs.join(by_merge(sets.withColumnsRenamed({"node": "u", "shingles": "a"})), "u")
+    whole = larger.join(by_merge(sets.withColumnsRenamed({"node": "v", "shingles": "b"})), "v")
     return whole.where(similar(F.col("a"), F.col("b"))).select("u", "v")
 
 
@@ -255,14 +256,14 @@ def near_copy_groups(documents: DataFrame) -> DataFrame:
     )
     sets = sets_of(pairs, texts.withColumnRenamed("doc_id", "node"))
     links = confirmed_links(pairs, sets)
-    copies = signed.join(nodes.select("shingles_key", "node"), "shingles_key").where("doc_id <> node").select(
+    copies = signed.join(by_merge(nodes.select("shingles_key", "node")), "shingles_key").where("doc_id <> node").select(
         F.col("doc_id").alias("u"), F.col("node").alias("v")
     )
     labels = components(links.unionByName(copies))
     rest = rest_links(nodes, labels, sets)
     labels = components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(rest))
     ids = signed.select("doc_id").distinct()
-    return ids.join(labels, F.col("doc_id") == F.col("node"), "left").select(
+    return ids.join(by_merge(labels), F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", F.coalesce("component", "doc_id").alias("component_id")
     )
 

@@ -28,7 +28,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from userlake.llm.common import stored, unique_names
+from userlake.llm.common import by_merge, stored, unique_names
 
 # Fixed: the kinds in their order, and how they look. Lookbehinds and possessive
 # repetition give the same matches as without, in time linear in the text.
@@ -175,9 +175,9 @@ def disclosing_terms(documents: DataFrame, rows: DataFrame) -> DataFrame:
         F.lit(total) / F.col("n_entity")
     )
     return (
-        evident.join(both, key)
-        .join(sizes, "entity")
-        .join(document_frequencies(documents), "term")
+        evident.join(by_merge(both), key)
+        .join(by_merge(sizes), "entity")
+        .join(by_merge(document_frequencies(documents)), "term")
         .withColumn("share", share)
         .where(F.col("share") >= GENERALISE)
         .select(*key, (F.col("share") >= REMOVE).alias("removed"))
@@ -188,7 +188,7 @@ def term_spans(documents: DataFrame, rows: DataFrame, terms: DataFrame) -> DataF
     """_id, _key and the spans of disclosing terms, for the documents that have any."""
     held = (
         rows.select("doc_id", "text_key", "bases", F.explode("entities").alias("entity"))
-        .join(terms, "entity")
+        .join(by_merge(terms), "entity")
         .groupBy("doc_id", "text_key")
         .agg(
             F.first("bases").alias("bases"),
